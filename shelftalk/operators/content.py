@@ -59,16 +59,23 @@ def term_counts(docs: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
     """Unigram and bigram counts ``(id, term, tf)`` of documents ``(id, text)``.
 
     Tokens and neighbours are formed inside the row of a document; a document without any
-    token has no row.
+    token has no row. The outer form keeps the optimiser from testing the arrays, and so
+    from forming them, twice.
     """
-    exploded = _with_terms(docs, stop_words).select("id", F.explode("terms").alias("term"))
-    return exploded.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    exploded = _with_terms(docs, stop_words).select("id", F.explode_outer("terms").alias("term"))
+    return exploded.where(F.col("term").isNotNull()).groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def same_terms(docs: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
-    """``(id, profile)``: documents with the same terms share the lowest id among them."""
-    signed = _with_terms(docs, stop_words).where(F.size("terms") > 0).select(
-        "id", F.sha2(F.array_join(F.array_sort("terms"), "\n"), 256).alias("_sign")
+    """``(id, profile)``: documents with the same terms share the lowest id among them.
+
+    Each text is read once, into a stored signature; documents without terms drop out.
+    """
+    sign = F.sha2(F.array_join(F.sort_array("terms"), "\n"), 256)
+    signed = materialize(
+        _with_terms(docs, stop_words).select(
+            "id", F.when(F.size("terms") > 0, sign).alias("_sign")
+        )
     )
     lowest = signed.groupBy("_sign").agg(F.min("id").alias("profile"))
     return signed.join(lowest, "_sign").select("id", "profile")
@@ -82,16 +89,22 @@ def _unit_cells(terms: DataFrame) -> DataFrame:
     )
 
 
-def cosine_pairs(docs: DataFrame, members: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
+def cosine_pairs(
+    docs: DataFrame,
+    members: DataFrame,
+    stop_words: Sequence[str] = (),
+    best: int | None = None,
+) -> DataFrame:
     """Cosine of every pair of distinct term profiles that share a term.
 
     Copies are one profile (see :func:`same_terms`), so a group of copies adds no pairs.
-    Returns ``(item_a, item_b, score)`` over profile ids.
+    Returns ``(item_a, item_b, score)`` over profile ids; with ``best`` only the pairs that
+    may be among the ``best`` of one of their ends.
     """
     profiles = members.where(F.col("id") == F.col("profile")).select("id")
     distinct = docs.join(profiles, "id", "left_semi")
     cells = materialize(_unit_cells(term_counts(distinct, stop_words)))
-    return tiled_product(cells, stats=("sxy",)).select(
+    return tiled_product(cells, stats=("sxy",), best=best).select(
         F.col("id_a").alias("item_a"), F.col("id_b").alias("item_b"), F.col("sxy").alias("score")
     )
 
@@ -143,7 +156,7 @@ def similar_documents_all(
     first id, can be among the ``n + 1`` best.
     """
     members = materialize(same_terms(docs, stop_words))
-    edges = cosine_pairs(docs, members, stop_words)
+    edges = cosine_pairs(docs, members, stop_words, n + 1)
     selves = members.where(F.col("id") == F.col("profile")).select(
         F.col("id").alias("item_id"), F.col("id").alias("other_id"), F.lit(1.0).alias("score")
     )

@@ -58,7 +58,11 @@ def dialog_pairs_capped(utterances: DataFrame, cap: int = 50_000) -> DataFrame:
 
 
 def clean_pairs(pairs: DataFrame, clean) -> DataFrame:
-    return pairs.withColumns({side: clean(F.col(side)) for side in ("input", "target")})
+    """Both sides cleaned. Passed through a generator, so that a filter on the result does
+    not repeat the cleaning."""
+    cleaned = F.struct(*[clean(F.col(side)).alias(side) for side in ("input", "target")])
+    others = [c for c in pairs.columns if c not in ("input", "target")]
+    return pairs.select(*others, F.inline(F.array(cleaned)))
 
 
 def shorter_than(pairs: DataFrame, max_words: int = 10) -> DataFrame:

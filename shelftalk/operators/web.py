@@ -31,10 +31,10 @@ def attribute_values(pages: DataFrame, tag: str, attribute: str) -> DataFrame:
     """
     found = pages.select(
         "page_id",
-        F.posexplode(F.regexp_extract_all("html", F.lit(_element(tag)), F.lit(0))).alias(
-            "pos", "element"
-        ),
-    )
+        F.posexplode_outer(
+            F.regexp_extract_all("html", F.lit(_element(tag)), F.lit(0))
+        ).alias("pos", "element"),
+    )  # outer, so that the arrays are not formed twice for a test on their size
     text = F.regexp_replace("element", "<[^>]*>", "")
     pattern = _attribute(tag, attribute)
     return found.where(F.col("element").rlike(pattern) & (text != "")).select(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelftalk.operators.ordering import dense_index
+from shelftalk.sources.scratch import spread
 
 USER = 55_000  # user id given to the own ratings
 STOP_WORDS = ("the", "and", "of", "new")
@@ -87,7 +88,8 @@ def genres(spark: SparkSession) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return spread(docs, "id")
 
 
 def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,4 +99,4 @@ def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages")
+    return spread(table(spark, sf_dir, "pages"), "page_id")

@@ -40,3 +40,14 @@ def materialize(df: DataFrame) -> DataFrame:
     path = new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan over all cores if it has fewer splits than there are cores.
+
+    For work that is heavy per row, on input of a few files. A large scan stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
