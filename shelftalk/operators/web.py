@@ -16,16 +16,17 @@ from shelftalk.operators.tables import first_seen
 
 
 def _element(tag: str) -> str:
-    return rf"(?s)<{tag}\b[^>]*>.*?</{tag}>"
+    return rf"(?si)<{tag}\b[^>]*>.*?</{tag}>"
 
 
 def _attribute(tag: str, attribute: str) -> str:
-    return rf"""^<{tag}\b[^>]*?\s{attribute}\s*=\s*["']([^"'>]*)["']"""
+    return rf"""(?i)^<{tag}\b[^>]*?\s{attribute}\s*=\s*["']([^"'>]*)["']"""
 
 
 def attribute_values(pages: DataFrame, tag: str, attribute: str) -> DataFrame:
     """``(page_id, pos, value)``: an attribute of every element that has it and has text.
 
+    ``pos`` counts the elements of that tag on the page.
     For markup whose elements of that tag do not nest and whose values are quoted; any
     other markup needs :func:`attribute_values_parsed`. White space counts as text.
     """
@@ -61,15 +62,13 @@ class _Collector(HTMLParser):
     def __init__(self, tag: str, attribute: str) -> None:
         super().__init__(convert_charrefs=True)
         self.tag, self.attribute = tag, attribute
-        self.found: list[list] = []  # [value, has text], in document order
-        self._open: list[int | None] = []
+        self.found: list[list] = []  # [value, has text] of every such tag, in document order
+        self._open: list[int] = []
 
     def handle_starttag(self, tag, attrs):
         if tag == self.tag:
-            value = dict(reversed(attrs)).get(self.attribute)
-            self._open.append(None if value is None else len(self.found))
-            if value is not None:
-                self.found.append([value, False])
+            self._open.append(len(self.found))
+            self.found.append([dict(reversed(attrs)).get(self.attribute), False])
 
     def handle_endtag(self, tag):
         if tag == self.tag and self._open:
@@ -78,8 +77,7 @@ class _Collector(HTMLParser):
     def handle_data(self, data):
         if data:
             for at in self._open:
-                if at is not None:
-                    self.found[at][1] = True
+                self.found[at][1] = True
 
 
 def attribute_values_parsed(pages: DataFrame, tag: str, attribute: str) -> DataFrame:
@@ -95,7 +93,7 @@ def attribute_values_parsed(pages: DataFrame, tag: str, attribute: str) -> DataF
                 rows += [
                     (page_id, pos, value)
                     for pos, (value, has_text) in enumerate(collector.found)
-                    if has_text
+                    if has_text and value is not None
                 ]
             yield pd.DataFrame(rows, columns=["page_id", "pos", "value"])
 

@@ -282,8 +282,8 @@ def _time_major(rows: str, length: str, cell: str) -> str:
 
 
 def _attribute(tag: str, attribute: str) -> str:
-    element = f"(?s)<{tag}\\b[^>]*>.*?</{tag}>"
-    pattern = f"^<{tag}\\b[^>]*?\\s{attribute}\\s*=\\s*[\"'']([^\"''>]*)[\"'']"
+    element = f"(?si)<{tag}\\b[^>]*>.*?</{tag}>"
+    pattern = f"(?i)^<{tag}\\b[^>]*?\\s{attribute}\\s*=\\s*[\"'']([^\"''>]*)[\"'']"
     return f"""found AS (
   SELECT page_id, pos - 1 AS pos, element, regexp_extract(element, '{pattern}', 1) AS value
   FROM (SELECT page_id, unnest(es) AS element, generate_subscripts(es, 1) AS pos

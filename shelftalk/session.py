@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(name: str = "shelftalk", cores: int = 8, memory: str = "16g") -> SparkSession:
-    return (
+def local_session(
+    name: str = "shelftalk", cores: int = 8, memory: str = "16g", checkpoint_dir: str | None = None
+) -> SparkSession:
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
@@ -16,5 +18,7 @@ def local_session(name: str = "shelftalk", cores: int = 8, memory: str = "16g")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    return builder.getOrCreate()
