@@ -114,21 +114,25 @@ def similar_documents(
 ) -> DataFrame:
     """The ``n`` documents closest to one document by cosine, ties by id.
 
-    Linear in the term rows: they meet only the terms of the target.
+    Linear in the term rows, which are read once: each meets the terms of the target only,
+    and the same grouping adds up the products and the lengths.
     """
-    terms = term_counts(docs, stop_words)
-    lengths = terms.groupBy("id").agg(F.sum(F.col("tf") * F.col("tf")).alias("len2"))
     wanted = term_counts(docs.where(F.col("id") == target_id), stop_words).select(
         "term", F.col("tf").alias("target_tf")
     )
-    own = lengths.where(F.col("id") == target_id).select("len2").scalar()
-    dots = terms.join(wanted, "term").groupBy("id").agg(
-        F.sum(F.col("tf") * F.col("target_tf")).alias("dot")
+    own = wanted.agg(F.sqrt(F.sum(F.col("target_tf") * F.col("target_tf")))).scalar()
+    sums = (
+        term_counts(docs, stop_words)
+        .join(wanted, "term", "left")
+        .groupBy("id")
+        .agg(
+            F.sum(F.col("tf") * F.col("target_tf")).alias("dot"),
+            F.sum(F.col("tf") * F.col("tf")).alias("len2"),
+        )
     )
     return (
-        dots.where(F.col("id") != target_id)
-        .join(lengths, "id")
-        .select("id", (F.col("dot") / (F.sqrt(own) * F.sqrt("len2"))).alias("score"))
+        sums.where(F.col("dot").isNotNull() & (F.col("id") != target_id))
+        .select("id", (F.col("dot") / (own * F.sqrt("len2"))).alias("score"))
         .orderBy(F.desc(ranking_key(F.col("score"))), "id")
         .limit(n)
     )

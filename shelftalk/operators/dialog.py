@@ -72,8 +72,8 @@ def shorter_than(pairs: DataFrame, max_words: int = 10) -> DataFrame:
 
 
 def numbered_pairs(pairs: DataFrame, order: Sequence[str] = ("conv_id", "pos")) -> DataFrame:
-    """Pairs with a dense ``pair_id`` in their order."""
-    return dense_index(pairs, order, "pair_id")
+    """Pairs with a dense ``pair_id`` in their order; a former ``pair_id`` is replaced."""
+    return dense_index(pairs.drop("pair_id"), order, "pair_id")
 
 
 def sample_pairs(pairs: DataFrame, n: int = 10) -> DataFrame:

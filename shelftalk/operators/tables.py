@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelftalk.sources.scratch import materialize
+
 
 def profile(df: DataFrame, name: str, keys: Sequence[str], approximate: bool = False) -> DataFrame:
     """Rows and columns of a table, and distinct values, minimum and maximum per key."""
@@ -43,10 +45,13 @@ def count_true(df: DataFrame, condition: Column, name: str = "n_true") -> DataFr
 def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
     """Counts in equal-width bins over the whole range; the last bin is closed.
 
-    Values are first counted as they are, so the table behind the bins has one row per
-    distinct value. A single distinct value gets a range of one around it.
+    Values are first counted as they are and stored, so the input is read once and the table
+    behind the bins has one row per distinct value. A single distinct value gets a range of
+    one around it.
     """
-    counted = df.groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    counted = materialize(
+        df.groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    )
     low, high = counted.select(F.min("v")).scalar(), counted.select(F.max("v")).scalar()
     lo = F.when(low == high, low - 0.5).otherwise(low).cast("double")
     hi = F.when(low == high, high + 0.5).otherwise(high).cast("double")

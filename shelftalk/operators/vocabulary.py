@@ -1,42 +1,37 @@
-"""Word vocabularies ``(word, index, n)`` of sentence pairs."""
+"""Word vocabularies ``(word, index, n)`` of numbered sentence pairs."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelftalk.functions.arrays import MARKERS
 from shelftalk.operators.ordering import dense_index
 
 FIRST_INDEX = len(MARKERS)
-_ORDER = ("conv_id", "pos")
+_MAX_WORDS = 1 << 25  # words of one pair that fit below the pair number in a long
+
 
+def _words() -> Column:
+    """Words of a pair, the input before the target."""
+    return F.concat(F.split("input", " "), F.split("target", " "))
 
-def vocabulary(pairs: DataFrame, order: Sequence[str] = _ORDER) -> DataFrame:
+
+def vocabulary(pairs: DataFrame) -> DataFrame:
     """Words with their counts, numbered from 3 in order of first appearance.
 
-    Pairs come in the order of ``order``, the input before the target. Counts and first
-    places are combined before the shuffle, so a frequent word costs one row per task.
+    Pairs come in the order of ``pair_id``, the input before the target. The place of a word
+    is one number, so counts and first places are combined by hashing before the shuffle,
+    and a frequent word costs one row per task.
     """
-    sides = F.array(
-        *[
-            F.struct(F.lit(i).alias("side"), F.split(c, " ").alias("words"))
-            for i, c in enumerate(("input", "target"))
-        ]
-    )
-    words = pairs.select(*order, F.inline(sides)).select(
-        *order, "side", F.posexplode("words").alias("at", "word")
+    too_long = F.raise_error(F.lit("a pair has too many words")).cast("array<string>")
+    words = F.when(F.size(_words()) <= _MAX_WORDS, _words()).otherwise(too_long)
+    spoken = pairs.select("pair_id", F.posexplode_outer(words).alias("at", "word"))
+    place = F.col("pair_id") * _MAX_WORDS + F.col("at")
+    seen = spoken.groupBy("word").agg(
+        F.count(F.lit(1)).alias("n"), F.min(place).alias("_place")
     )
-    seen = words.groupBy("word").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(*order, "side", "at")).alias("_first")
-    )
-    places = [f"_p{i}" for i in range(len(order) + 2)]
-    flat = seen.select(
-        "word", "n", *[F.col(f"_first.{c}").alias(p) for c, p in zip((*order, "side", "at"), places)]
-    )
-    return dense_index(flat, places, "index", FIRST_INDEX).select("word", "index", "n")
+    return dense_index(seen, ["_place"], "index", FIRST_INDEX).select("word", "index", "n")
 
 
 def trim(vocabulary: DataFrame, min_count: int = 3) -> DataFrame:
@@ -45,14 +40,11 @@ def trim(vocabulary: DataFrame, min_count: int = 3) -> DataFrame:
     return dense_index(kept, ["_before"], "index", FIRST_INDEX).select("word", "index", "n")
 
 
-def pairs_in_vocabulary(
-    pairs: DataFrame, vocabulary: DataFrame, key: Sequence[str] = _ORDER
-) -> DataFrame:
+def pairs_in_vocabulary(pairs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Pairs whose every word, on both sides, is in the vocabulary."""
-    both = F.concat(F.split("input", " "), F.split("target", " "))
-    words = pairs.select(*key, F.explode(F.array_distinct(both)).alias("word"))
-    bad = words.join(vocabulary.select("word"), "word", "left_anti").select(*key).distinct()
-    return pairs.join(bad, list(key), "left_anti")
+    words = pairs.select("pair_id", F.explode_outer(F.array_distinct(_words())).alias("word"))
+    bad = words.join(vocabulary.select("word"), "word", "left_anti").select("pair_id").distinct()
+    return pairs.join(bad, "pair_id", "left_anti")
 
 
 def trim_statistics(

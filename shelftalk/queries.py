@@ -325,7 +325,7 @@ def _cleaned_pairs(spark, d):
 
 
 def _short_pairs(spark, d):
-    return materialize(dialog.shorter_than(_cleaned_pairs(spark, d), MAX_WORDS))
+    return dialog.numbered_pairs(dialog.shorter_than(_cleaned_pairs(spark, d), MAX_WORDS))
 
 
 @query
@@ -346,7 +346,7 @@ def vocabulary_trimmed(spark, d):
 @query
 def pairs_in_vocabulary(spark, d):
     short = _short_pairs(spark, d)
-    return V.pairs_in_vocabulary(short, V.trim(V.vocabulary(short), 2))
+    return V.pairs_in_vocabulary(short, V.trim(V.vocabulary(short), 2)).drop("pair_id")
 
 
 @query

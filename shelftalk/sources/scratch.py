@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +43,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_tables(spark: SparkSession, tables: Iterable[DataFrame]) -> None:
+    """Remove written tables once nothing reads them any more."""
+    root = scratch_root(spark)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for table in tables:
+        for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+            if f"{root}/shelftalk-" not in folder:
+                raise ValueError(f"not a scratch table: {folder}")
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Spread a scan over all cores if it has fewer splits than there are cores.
 

@@ -54,6 +54,7 @@ def test_length_filter_counts_words(spark, pairs):
 
 
 def test_vocabulary_order_counts_and_trim(pairs, rows):
+    pairs = dialog.numbered_pairs(pairs.repartition(3))
     words = V.vocabulary(pairs.repartition(3))
     assert {r.word: (r["index"], r.n) for r in words.collect()} == {
         "hi": (3, 3), ".": (4, 4), "hello": (5, 1), "there": (6, 2), "go": (7, 1), "away": (8, 1), "": (9, 1),
@@ -67,7 +68,7 @@ def test_vocabulary_order_counts_and_trim(pairs, rows):
 
 def test_encode_pad_mask_decode(pairs):
     numbered = dialog.numbered_pairs(pairs)
-    words = V.vocabulary(pairs)
+    words = V.vocabulary(numbered)
     encoded = B.encode_pairs(numbered, words)
     got = {r.pair_id: (r.input_ids, r.target_ids) for r in encoded.collect()}
     assert got[1] == ([3, 6, 4, 2], [7, 8, 2]) and got[2] == ([9, 2], [3, 4, 2])
@@ -82,7 +83,7 @@ def test_encode_pad_mask_decode(pairs):
 def test_unknown_word_is_an_error(pairs):
     numbered = dialog.numbered_pairs(pairs)
     with pytest.raises(Exception, match="unknown word"):
-        B.encode_pairs(numbered, V.trim(V.vocabulary(pairs), 2)).collect()
+        B.encode_pairs(numbered, V.trim(V.vocabulary(numbered), 2)).collect()
 
 
 def test_batches_are_consistent(spark):

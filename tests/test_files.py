@@ -5,7 +5,7 @@ import pytest
 from shelftalk.operators import dialog
 from shelftalk.plans import dialogs
 from shelftalk.sources import files
-from shelftalk.sources.scratch import materialize, scratch_root
+from shelftalk.sources.scratch import delete_tables, materialize, scratch_root
 
 LINES = [
     'L1 +++$+++ u0 +++$+++ m0 +++$+++ BIANCA +++$+++ They "do not!',
@@ -91,3 +91,5 @@ def test_scratch_folder_comes_from_the_session(spark):
     stored = materialize(spark.range(3))
     assert stored.count() == 3 and len(set(os.listdir(folder)) - before) == 1
     assert all(f"{folder}/" in f for f in stored.inputFiles())
+    delete_tables(spark, [stored])
+    assert set(os.listdir(folder)) == before
