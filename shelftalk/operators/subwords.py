@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelftalk.functions.arrays import bracket, pad_to
-from shelftalk.sources.scratch import materialize
+from shelftalk.sources.scratch import materialize, spread
 
 END = "_"  # closes every word, so that pieces can be put together again
 _MEMO = 100_000  # words remembered per task
@@ -56,7 +56,7 @@ def build_subwords(
     ``count x (length - 1)``. Ids count from 1, longest piece first; 0 is padding. Work
     after the first count grows with the distinct words, not with the corpus.
     """
-    words = materialize(word_counts(texts, text))
+    words = spread(materialize(word_counts(texts, text)), "word")
     letters = words.select(F.explode(F.split("word", "")).alias("piece"), "n").groupBy("piece").agg(
         F.sum("n").alias("n")
     )

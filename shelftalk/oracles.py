@@ -306,7 +306,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "ratings_collapse": _with(_RATINGS, "SELECT * FROM collapsed"),
         "active_users": _with(_CLEANED, "SELECT * FROM active"),
-        "popular_items": _with(_CLEANED, "SELECT * FROM cleaned"),
+        "popular_items": _with(_CLEANED, "SELECT book_id, user_id, rating FROM cleaned"),
         "rating_totals": _with(
             _RATINGS,
             "SELECT *, count(*) OVER (PARTITION BY user_id) AS total_ratings FROM collapsed",

@@ -391,7 +391,7 @@ def batches(spark, d):
         _joined(F.col("lengths")).alias("lengths"),
         matrix("targets").alias("targets"),
         matrix("mask").alias("mask"),
-        "max_target_len",
+        F.col("max_target_len").cast("long").alias("max_target_len"),
     )
 
 
