@@ -34,7 +34,8 @@ class Prepared:
 def prepare(said: DataFrame, max_words: int = 10, min_count: int = 3) -> Prepared:
     """Pairs cleaned, cut by length and by rare words, with the trimmed vocabulary."""
     cleaned = dialog.clean_pairs(dialog.dialog_pairs(said), clean_folded)
-    short = dialog.numbered_pairs(dialog.shorter_than(cleaned, max_words))
+    # Stored first: numbering reads its input twice, and most pairs are gone by now.
+    short = dialog.numbered_pairs(materialize(dialog.shorter_than(cleaned, max_words)))
     words = V.trim(V.vocabulary(short), min_count)
     kept = V.pairs_in_vocabulary(short, words)
     return Prepared(dialog.numbered_pairs(kept), words)

@@ -325,7 +325,9 @@ def _cleaned_pairs(spark, d):
 
 
 def _short_pairs(spark, d):
-    return dialog.numbered_pairs(dialog.shorter_than(_cleaned_pairs(spark, d), MAX_WORDS))
+    return dialog.numbered_pairs(
+        materialize(dialog.shorter_than(_cleaned_pairs(spark, d), MAX_WORDS))
+    )
 
 
 @query
