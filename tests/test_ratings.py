@@ -137,6 +137,13 @@ def test_recommend_all_against_brute_force(spark):
     assert got == want
 
 
+def test_ratings_too_low_to_be_marked_are_an_error(spark, rated, books):
+    model = edges_of(rated, books, 3)
+    zero = spark.createDataFrame([(9, 10, 0.0)], model.by_title.schema)
+    with pytest.raises(Exception, match="below 0.5"):
+        collab.recommend_all(model.by_title.unionByName(zero), model.edges).collect()
+
+
 def test_partitioning_does_not_matter(spark, rated, books):
     results = []
     for n in (1, 7):
