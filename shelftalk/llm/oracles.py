@@ -28,10 +28,10 @@ ORACLES: dict[str, str] = {
     """,
     "op9_suffixes": r"""
         WITH texts AS (
-            SELECT doc_id, hex(encode(coalesce(text, ''))) AS line FROM documents
+            SELECT doc_id, encode(coalesce(text, '')) AS line FROM documents
         ), windows AS (
-            SELECT doc_id, i, md5(substr(line, 2 * i + 1, 100)) AS h
-            FROM texts, unnest(range(length(line) // 2 - 49)) AS t(i)
+            SELECT doc_id, i, md5(line[i + 1:i + 50]) AS h
+            FROM texts, unnest(range(octet_length(line) - 49)) AS t(i)
         ), firsts AS (
             SELECT h, min(doc_id) AS first_id FROM windows GROUP BY h
         ), starts AS (
@@ -46,12 +46,12 @@ ORACLES: dict[str, str] = {
         ), spans AS (
             SELECT doc_id, span, min(i) AS a, max(i) + 50 AS z FROM islands GROUP BY doc_id, span
         ), pieces AS (
-            SELECT doc_id, a, substr(line, 2 * before + 1, 2 * (a - before)) AS piece
+            SELECT doc_id, a, hex(line[before + 1:a]) AS piece
             FROM (
                 SELECT doc_id, a, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before
                 FROM (
                     SELECT doc_id, a, z FROM spans
-                    UNION ALL SELECT doc_id, length(line) // 2, NULL FROM texts
+                    UNION ALL SELECT doc_id, octet_length(line), NULL FROM texts
                 )
             ) JOIN texts USING (doc_id)
         ), kept AS (
@@ -59,7 +59,7 @@ ORACLES: dict[str, str] = {
         ), counted AS (
             SELECT doc_id, count(*) AS n, sum(z - a) AS gone FROM spans GROUP BY doc_id
         )
-        SELECT t.doc_id, length(t.line) // 2 AS n_bytes,
+        SELECT t.doc_id, octet_length(t.line) AS n_bytes,
             CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans,
             sha256(unhex(kept.line)) AS kept_sha256
         FROM texts AS t JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id)

@@ -149,5 +149,8 @@ def measure(
             "\n",
         ).alias("cleaned"),
     )
+    # the generator keeps a later filter on the struct from being rewritten into all the
+    # expressions above, each as often as it is used
+    done = step.select("_row", F.explode(F.array(quality)).alias("_quality"))
     kept = [F.col("_row").getField(c).alias(c) for c in df.columns if c != name]
-    return step.select(*kept, quality.alias(name))
+    return done.select(*kept, F.col("_quality").alias(name))
