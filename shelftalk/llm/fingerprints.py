@@ -55,9 +55,13 @@ def likeness(a: Column, b: Column) -> Column:
 
 def fingerprints(df: DataFrame, fraction: float = FRACTION, size: int = SHINGLE) -> DataFrame:
     """``doc_id``, ``text`` and ``sketch`` (array of long) of every row; a null text is empty."""
-    texts = whole_texts(df).select("*", words_of(F.lower("text")).alias("_words"))
-    hashed = texts.select("doc_id", "text", shingle_hashes(F.col("_words"), size).alias("_h"))
-    return hashed.select("doc_id", "text", sketch(F.col("_h"), fraction).alias("sketch"))
+    return _with_sketch(whole_texts(df), fraction, size)
+
+
+def _with_sketch(texts: DataFrame, fraction: float, size: int) -> DataFrame:
+    words = texts.select("*", words_of(F.lower("text")).alias("_words"))
+    hashed = words.select(*texts.columns, shingle_hashes(F.col("_words"), size).alias("_h"))
+    return hashed.select(*texts.columns, sketch(F.col("_h"), fraction).alias("sketch"))
 
 
 def next_ids(df: DataFrame) -> DataFrame:
@@ -98,20 +102,25 @@ def edited_fingerprints(
     hashes and their digest), near_edited, near_next (likeness), in_edited, in_next
     (containment).
     """
+    # an id as two columns without nulls, so that all joins and groups share one partitioning
+    two = lambda c: [F.col(c).isNull().alias("_no"), F.coalesce(F.col(c), F.lit(0)).alias("_id")]
     texts = whole_texts(df)
     links = materialize(next_ids(texts))
     wanted = links.select(
-        F.col("next_id").alias("_own"),
+        *two("next_id"),
         F.col("doc_id").alias("_for"),
         F.floor(F.col("_chars") / 3).cast("int").alias("_take"),
     )
-    own = fingerprints(df, fraction, size)
+    # texts move before they are hashed: sketches are made again where they are needed
+    moved = texts.select("*", *two("doc_id")).repartition("_no", "_id")
+    own = _with_sketch(moved, fraction, size)
     heads = (
-        own.join(wanted, own["doc_id"].eqNullSafe(wanted["_own"]))
-        .groupBy("_for")
-        .agg(F.min(F.struct(F.expr("substring(text, 1, _take)").alias("head"), "sketch")).alias("_next"))
+        own.join(wanted, ["_no", "_id"])
+        .select(*two("_for"), F.struct(F.expr("substring(text, 1, _take)").alias("head"), "sketch").alias("_next"))
+        .groupBy("_no", "_id")
+        .agg(F.min("_next").alias("_next"))
     )
-    met = own.join(heads, own["doc_id"].eqNullSafe(heads["_for"]))
+    met = own.join(heads, ["_no", "_id"])
     n_chars = F.length("text")
     cut = F.floor(n_chars / 3).cast("int")
     edited = met.select(
