@@ -112,7 +112,8 @@ def edited_fingerprints(
         F.floor(F.col("_chars") / 3).cast("int").alias("_take"),
     )
     # texts move before they are hashed: sketches are made again where they are needed
-    moved = texts.select("*", *two("doc_id")).repartition("_no", "_id")
+    # (the id is made anew, so that both uses read the same columns of one exchange)
+    moved = texts.select("text", *two("doc_id")).repartition("_no", "_id")
     own = _with_sketch(moved, fraction, size)
     heads = (
         own.join(wanted, ["_no", "_id"])
@@ -124,7 +125,7 @@ def edited_fingerprints(
     n_chars = F.length("text")
     cut = F.floor(n_chars / 3).cast("int")
     edited = met.select(
-        "doc_id",
+        F.when(~F.col("_no"), F.col("_id")).alias("doc_id"),
         n_chars.cast("long").alias("n_chars"),
         "sketch",
         F.col("_next.sketch").alias("_next"),
