@@ -20,7 +20,7 @@ from shelftalk.llm.common import arrow_rows, text_runs, whole_texts, worker_kept
 from shelftalk.sources.scratch import materialize
 
 #: Words kept per Python worker with their ids; when full, it starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_200_000
 _MARK = "\x00"
 
 
@@ -96,7 +96,9 @@ class WordEncoder:
             known[w] = np.array(self._ids(w), dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        lists = pc.split_pattern(pa.array([t.replace("\n", " ") for t in texts], pa.string()), " ")
+        # the tokenizer lower-cases; for ASCII that is lower() of the whole text
+        plain = [(t.lower() if t.isascii() else t).replace("\n", " ") for t in texts]
+        lists = pc.split_pattern(pa.array(plain, pa.string()), " ")
         coded = lists.flatten().dictionary_encode()
         words, place = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         if len(self.known) > CACHE_WORDS:
@@ -175,19 +177,20 @@ def best_fit(lengths: np.ndarray, size: int) -> list[list[int]]:
 def _exchange(source: list[int], target: list[int], n: np.ndarray, room: int) -> bool:
     """Move an item, or swap two or one of ``source`` for one of ``target``, so that the target
     gains as much as its room allows. False if nothing makes it fuller."""
-    best, move = 0, None
-    ones = [(int(n[i]), (i,)) for i in source]
-    twos = [(int(n[i] + n[j]), (i, j)) for i, j in itertools.combinations(source, 2)]
-    for gain, out in ones:
-        if best < gain <= room:
-            best, move = gain, (out, None)
-    for j in target:
-        back = int(n[j])
-        for total, out in itertools.chain(ones, twos):
-            if best < total - back <= room:
-                best, move = total - back, (out, j)
-    if move is None:
+    ones = [(i,) for i in source]
+    twos = list(itertools.combinations(source, 2))
+    out_of = ones + twos
+    total = n[[i for (i,) in ones]]
+    if twos:
+        total = np.concatenate([total, n[np.array(twos)].sum(axis=1)])
+    back = np.concatenate([[0], n[target]])  # 0: nothing comes back
+    gain = total[:, None] - back
+    gain[len(ones) :, 0] = 0  # two alone would be two moves
+    gain[gain > room] = 0
+    best = int(gain.argmax())
+    if gain.flat[best] <= 0:
         return False
+    move = out_of[best // len(back)], (None if best % len(back) == 0 else target[best % len(back) - 1])
     out, back = move
     for i in out:
         source.remove(i)
