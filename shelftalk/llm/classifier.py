@@ -212,35 +212,36 @@ def train(
     return Scorer(mean, spread, frequency, phase, weights, knots, values)
 
 
-def train_on(docs: DataFrame, labels: DataFrame) -> Scorer:
-    """Fit on the labelled documents that are not held out; an id with several labels counts
-    by each distinct one, rows without id or label not at all."""
+def statistics_table(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``stats`` of every row, stored: texts are read once and never moved."""
+    return materialize(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), statistics_of(F.col("text")).alias("stats"))
+    )
+
+
+def train_on(table: DataFrame, labels: DataFrame) -> Scorer:
+    """Fit on the labelled rows of a :func:`statistics_table` that are not held out; an id with
+    several labels counts by each distinct one, rows without id or label not at all."""
     known = (
         labels.where("doc_id is not null and quality is not null")
         .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("label"))
         .where(fold(F.col("doc_id")) != 0)
         .distinct()
     )
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, "doc_id")
-    table = materialize(
-        rows.select(
-            statistics_of(F.col("text")).alias("stats"), "label", fold(F.col("doc_id")).alias("part")
-        )
-    )
-    return train(table)
+    rows = table.join(known, "doc_id")
+    return train(materialize(rows.select("stats", "label", fold(F.col("doc_id")).alias("part"))))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Score of every row; labels, language, source and id are no inputs of it.
 
     A null text is scored as an empty one. A null id counts as an empty text for its fold.
-    Repeated rows are scored alike. Columns: doc_id, held_out, score, predicted.
+    Repeated rows are scored alike. An empty table gives an empty result; without labels every
+    score is 0.5. Columns: doc_id, held_out, score, predicted.
     """
-    scorer = train_on(docs, labels)
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), statistics_of(F.col("text")).alias("stats")
-    )
-    return rows.select(
+    table = statistics_table(docs)
+    scorer = train_on(table, labels)
+    return table.select(
         "doc_id",
         (fold(F.col("doc_id")) == 0).alias("held_out"),
         scorer.column(F.col("stats")).alias("score"),
