@@ -201,7 +201,7 @@ def _exchange(source: list[int], target: list[int], n: np.ndarray, room: int) ->
     return True
 
 
-def local_search(bins: list[list[int]], lengths: np.ndarray, size: int, partners: int = 64) -> list[list[int]]:
+def local_search(bins: list[list[int]], lengths: np.ndarray, size: int, partners: int = 12) -> list[list[int]]:
     """Exchange items between underfull bins as long as the sum of squared fills grows.
 
     The emptiest bin gives to the fuller ones (a move, one for one, two for one); every
@@ -209,7 +209,8 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, size: int, partners
     runs empty or gets stuck. A stuck bin is set aside. ``partners`` bounds the bins tried per
     exchange round, not the items.
     """
-    fill = lambda b: int(sum(lengths[i] for i in b))
+    own = lengths.tolist()
+    fill = lambda b: sum([own[i] for i in b])
     done = [b for b in bins if fill(b) == size]
     open_bins = sorted((b for b in bins if fill(b) < size), key=fill)
     while len(open_bins) > 1:
