@@ -485,7 +485,8 @@ def _confirmed(confirm: Confirm, parts: int, block: int) -> Callable:
 
 
 def _by(df: DataFrame, parts: int) -> DataFrame:
-    return df.repartition(parts, "part")
+    """A task for each part; a hash of the part's number would put several into one task."""
+    return df.repartitionById(parts, F.col("part"))
 
 
 def covered_windows(docs: DataFrame, units: Units, confirm: Confirm, block: int = 1 << 20, part_units: int = 16 << 20) -> DataFrame:
