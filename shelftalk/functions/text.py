@@ -128,8 +128,14 @@ def starts_lower(c: Column) -> Column:
 
 
 def id_list(c: Column) -> Column:
-    """Array from the text of a list of quoted ids, e.g. ``['L1', 'L2']``."""
-    return F.from_json(c, T.ArrayType(T.StringType()), {"allowSingleQuotes": "true"})
+    """Array from the text of a list of quoted ids, e.g. ``['L1', 'L2']``.
+
+    Text that is no such list is an error; null stays null.
+    """
+    kind = T.ArrayType(T.StringType())
+    bad = F.raise_error(F.concat(F.lit("not a list of ids: "), c)).cast(kind)
+    read = F.from_json(c, kind, {"allowSingleQuotes": "true"})
+    return F.when(c.isNotNull(), F.coalesce(read, bad))
 
 
 def recode(c: Column, numbers: dict[str, int]) -> Column:

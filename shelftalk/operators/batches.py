@@ -99,15 +99,20 @@ def training_batches(
 
 
 def decode(sequences: DataFrame, vocabulary: DataFrame, key: str, ids: str) -> DataFrame:
-    """``(key, text)``: words of the ids without end and padding markers."""
+    """``(key, text)``: words of the ids without end and padding markers.
+
+    An id that is neither in the vocabulary nor a marker is an error.
+    """
     spark = sequences.sparkSession
     markers = spark.createDataFrame(
         [(w, i) for w, i in MARKERS.items()], "word string, index long"
     )
     names = vocabulary.select("word", "index").unionByName(markers)
     at = sequences.select(key, F.posexplode(ids).alias("at", "index"))
+    unknown = F.raise_error(F.concat(F.lit("unknown word id "), F.col("index").cast("string")))
     words = (
-        at.join(names, "index")
+        at.join(names, "index", "left")
+        .withColumn("word", F.coalesce("word", unknown.cast("string")))
         .groupBy(key)
         .agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("_w"))
     )

@@ -456,7 +456,7 @@ def page_slugs(spark, d):
 @query
 def first_char_class(spark, d):
     words = web.links(S.pages(spark, d), "/").select(
-        "page_id", "pos", F.substring("href", 2, 1_000_000).alias("word")
+        "page_id", "pos", F.expr("substring(href, 2)").alias("word")
     )
     named = F.when(X.starts_upper_or_digit(F.col("word")), "upper or digit").when(
         X.starts_lower(F.col("word")), "lower"

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelftalk.functions import arrays as A
-from shelftalk.functions.text import clean_folded
+from shelftalk.functions.text import clean_folded, id_list
 from shelftalk.operators import batches as B
 from shelftalk.operators import dialog, vocabulary as V
 from shelftalk.operators.ordering import dense_index, with_next
@@ -80,6 +80,20 @@ def test_encode_pad_mask_decode(pairs):
     assert texts == {0: "hi .", 1: "hi there .", 2: ""}
 
 
+def test_unknown_word_id_is_an_error(spark, pairs):
+    words = V.vocabulary(dialog.numbered_pairs(pairs))
+    ids = spark.createDataFrame([(1, [3, 99, 2])], "pair_id long, ids array<int>")
+    with pytest.raises(Exception, match="unknown word id 99"):
+        B.decode(ids, words, "pair_id", "ids").collect()
+
+
+@pytest.mark.parametrize("text", ["['L1', 'L2'", "[L1, L2]"])
+def test_malformed_id_list_is_an_error(spark, text):
+    df = spark.createDataFrame([(text,)], "ids string")
+    with pytest.raises(Exception, match="not a list of ids"):
+        df.select(F.explode(id_list(F.col("ids")))).collect()
+
+
 def test_unknown_word_is_an_error(pairs):
     numbered = dialog.numbered_pairs(pairs)
     with pytest.raises(Exception, match="unknown word"):
