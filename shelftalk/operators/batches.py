@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from shelftalk.functions.arrays import EOS, MARKERS, mask, time_major, without_markers
 
-_PRIME = 2_147_483_647  # 2**31 - 1
-
 
 def encode_pairs(pairs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``(pair_id, input_ids, target_ids)`` with the end marker; unknown words are an error.
@@ -39,21 +37,17 @@ def encode_pairs(pairs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return whole.select("pair_id", ids(0).alias("input_ids"), ids(1).alias("target_ids"))
 
 
-def _mixed(x: Column, step: int, shift: int) -> Column:
-    return (x * step + shift) % _PRIME
-
-
 def draws(pairs: DataFrame, n_draws: int, seed: int = 0) -> DataFrame:
     """``(draw, pair_id)``: pairs drawn with replacement, the same for the same seed.
 
-    ``pair_id`` must be dense. Each draw is hashed by integer arithmetic to 62 bits.
+    ``pair_id`` must be dense. The MD5 of seed and draw number gives each draw 64 bits, whose
+    remainder by the number of pairs is the pair. Drawing from no pairs is an error.
     """
     total = pairs.agg(F.count(F.lit(1))).scalar()
-    start = (F.col("id") % _PRIME + (seed * 7919 + 1) % _PRIME) % _PRIME
-    high = _mixed(_mixed(start, 48271, 11), 69621, 7)
-    low = _mixed(high, 16807, 3)
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")))
+    bits = F.conv(F.substring(digest, 1, 16), 16, 10).cast("decimal(20,0)")
     return pairs.sparkSession.range(n_draws).select(
-        F.col("id").alias("draw"), ((high * _PRIME + low) % total).alias("pair_id")
+        F.col("id").alias("draw"), (bits % total).cast("long").alias("pair_id")
     )
 
 

@@ -35,14 +35,19 @@ def assemble(conversations: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
-def consecutive(utterances: DataFrame) -> DataFrame:
-    """Each utterance with its answer; the last one of a conversation has none."""
+def _answered(utterances: DataFrame) -> DataFrame:
+    """Utterances that have an answer, with their place ``_ord`` in the whole table."""
     paired = with_next(utterances, ["conv_id"], ["pos"], {"target": "text"})
     return paired.where("_has_next").select(
-        "conv_id", "pos", F.col("text").alias("input"), "target"
+        "_ord", "conv_id", "pos", F.col("text").alias("input"), "target"
     )
 
 
+def consecutive(utterances: DataFrame) -> DataFrame:
+    """Each utterance with its answer; the last one of a conversation has none."""
+    return _answered(utterances).drop("_ord")
+
+
 def dialog_pairs(utterances: DataFrame) -> DataFrame:
     """Consecutive pairs, stripped, both sides non-blank."""
     stripped = consecutive(utterances).withColumns(
@@ -52,8 +57,18 @@ def dialog_pairs(utterances: DataFrame) -> DataFrame:
 
 
 def dialog_pairs_capped(utterances: DataFrame, cap: int = 50_000) -> DataFrame:
-    """The first ``cap`` consecutive pairs in order, cleaned; blank sides stay."""
-    first = consecutive(utterances).orderBy("conv_id", "pos").limit(cap)
+    """The first ``cap`` consecutive pairs in order, cleaned; blank sides stay.
+
+    The place of the last of them is found from the places alone, numbered in parallel. Texts
+    are then filtered by it where they lie, so no task gathers them.
+    """
+    if cap < 1:
+        raise ValueError("cap must be at least 1")
+    answered = _answered(utterances)
+    numbered = dense_index(answered.select("_ord"), ["_ord"], "_pair")
+    last = numbered.where(F.col("_pair") == cap - 1).first()
+    kept = answered if last is None else answered.where(F.col("_ord") <= last["_ord"])
+    first = kept.drop("_ord")
     return first.withColumns({side: clean_plain(F.col(side)) for side in ("input", "target")})
 
 

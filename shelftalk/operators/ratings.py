@@ -60,7 +60,10 @@ def keep_popular(ratings: DataFrame, at_least: int = 30) -> DataFrame:
 
 
 def with_totals(ratings: DataFrame, key: str, name: str) -> DataFrame:
-    """Every rating with the number of ratings of its user or book."""
+    """Every rating with the number of ratings of its user or book.
+
+    ``ratings`` should be a stored table; it is read for the counts and for the rows.
+    """
     return ratings.join(ratings_per(ratings, key, name), key)
 
 

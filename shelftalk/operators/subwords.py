@@ -153,10 +153,20 @@ def encode_padded(
 
 
 def decode_subwords(sequences: DataFrame, subwords: DataFrame, key: str, ids: str) -> DataFrame:
-    """``(key, text)`` from subword ids; start, end and padding ids are skipped."""
-    at = sequences.select(key, F.posexplode(ids).alias("at", "id"))
+    """``(key, text)`` from subword ids; start, end and padding ids are skipped.
+
+    Any other id outside the vocabulary is an error. A sequence without pieces is an empty text.
+    """
+    size = subwords.count()
+    unknown = F.raise_error(F.concat(F.lit("unknown subword id "), F.col("id").cast("string")))
+    marker = F.col("id").isNull() | F.col("id").isin(0, size + 1, size + 2)
+    at = sequences.select(key, F.posexplode_outer(ids).alias("at", "id"))
+    named = at.join(subwords.select("id", "piece"), "id", "left")
     whole = (
-        at.join(subwords.select("id", "piece"), "id")
+        named.withColumn(
+            "piece",
+            F.coalesce("piece", F.when(marker, F.lit("")).otherwise(unknown.cast("string"))),
+        )
         .groupBy(key)
         .agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("_p"))
     )

@@ -9,7 +9,7 @@ from shelftalk.functions.arrays import MARKERS
 from shelftalk.operators.ordering import dense_index
 
 FIRST_INDEX = len(MARKERS)
-_MAX_WORDS = 1 << 25  # words of one pair that fit below the pair number in a long
+_PAIR_STEP = 1 << 32  # above the number of words that an array can hold
 
 
 def _words() -> Column:
@@ -21,13 +21,11 @@ def vocabulary(pairs: DataFrame) -> DataFrame:
     """Words with their counts, numbered from 3 in order of first appearance.
 
     Pairs come in the order of ``pair_id``, the input before the target. The place of a word
-    is one number, so counts and first places are combined by hashing before the shuffle,
-    and a frequent word costs one row per task.
+    is one decimal of fixed width, so counts and first places are combined by hashing before
+    the shuffle, and a frequent word costs one row per task.
     """
-    too_long = F.raise_error(F.lit("a pair has too many words")).cast("array<string>")
-    words = F.when(F.size(_words()) <= _MAX_WORDS, _words()).otherwise(too_long)
-    spoken = pairs.select("pair_id", F.posexplode_outer(words).alias("at", "word"))
-    place = F.col("pair_id") * _MAX_WORDS + F.col("at")
+    spoken = pairs.select("pair_id", F.posexplode_outer(_words()).alias("at", "word"))
+    place = F.col("pair_id").cast("decimal(19,0)") * F.lit(_PAIR_STEP) + F.col("at")
     seen = spoken.groupBy("word").agg(
         F.count(F.lit(1)).alias("n"), F.min(place).alias("_place")
     )

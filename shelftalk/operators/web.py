@@ -44,10 +44,15 @@ def attribute_values(pages: DataFrame, tag: str, attribute: str) -> DataFrame:
     )
 
 
-def links(pages: DataFrame, pattern: str) -> DataFrame:
-    """``(page_id, pos, href)`` of links with text whose target matches anywhere."""
+def links(pages: DataFrame, pattern: str, parsed: bool = False) -> DataFrame:
+    """``(page_id, pos, href)`` of links with text whose target matches anywhere.
+
+    The plain form is for flat markup with quoted targets and leaves character references as
+    written; ``parsed`` reads any HTML.
+    """
+    read = attribute_values_parsed if parsed else attribute_values
     return (
-        attribute_values(pages, "a", "href")
+        read(pages, "a", "href")
         .where(F.col("value").rlike(pattern))
         .withColumnRenamed("value", "href")
     )

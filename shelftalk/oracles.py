@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from shelftalk.plans import standins as S
-from shelftalk.queries import MAX_WORDS, SUPPORT, SWEEP, TITLE
+from shelftalk.queries import CAP, MAX_WORDS, POPULAR, SUPPORT, SWEEP, TITLE
 
 
 def _values(words, column: str) -> str:
@@ -251,13 +251,16 @@ encoded AS (
   SELECT a.pair_id, a.ids AS input_ids, b.ids AS target_ids
   FROM ids a JOIN ids b ON a.pair_id = b.pair_id AND a.side = 0 AND b.side = 1)"""
 
-_P = 2_147_483_647
-_HIGH = f"((((draw % {_P} + {7 * 7919 + 1}) % {_P}) * 48271 + 11) % {_P} * 69621 + 7) % {_P}"
-_DRAWN = f"""{_ENCODED},
-drawn AS (
-  SELECT draw, CAST((high::HUGEINT * {_P} + (high * 16807 + 3) % {_P}) % (SELECT count(*) FROM numbered)
-                    AS BIGINT) AS pair_id
-  FROM (SELECT draw, {_HIGH} AS high FROM range({64 * 400}) t(draw)))"""
+
+
+def _drawn(pool: str) -> str:
+    bits = "('0x' || substr(md5('7:' || draw), 1, 16))::UBIGINT"
+    return f"""drawn AS (
+  SELECT draw, CAST({bits} % (SELECT count(*) FROM {pool}) AS BIGINT) AS pair_id
+  FROM range({64 * 400}) t(draw))"""
+
+
+_DRAWN = f"{_ENCODED},\n{_drawn('numbered')}"
 
 _BATCHES = f"""{_DRAWN},
 ordered AS (
@@ -304,8 +307,18 @@ def oracle_sql() -> dict[str, str]:
             _RATINGS,
             "SELECT user_id, book_id, count(rating) AS n_ratings FROM merged GROUP BY 1, 2",
         ),
+        "most_duplicated": _with(
+            _RATINGS,
+            """SELECT user_id, book_id, count(rating) AS n_ratings FROM merged GROUP BY 1, 2
+ORDER BY n_ratings DESC, user_id, book_id LIMIT 10""",
+        ),
         "ratings_collapse": _with(_RATINGS, "SELECT * FROM collapsed"),
         "active_users": _with(_CLEANED, "SELECT * FROM active"),
+        "popular_items_strict": _with(
+            _CLEANED,
+            f"""SELECT * FROM active WHERE book_id IN
+(SELECT book_id FROM active GROUP BY book_id HAVING count(*) >= {POPULAR})""",
+        ),
         "popular_items": _with(_CLEANED, "SELECT book_id, user_id, rating FROM cleaned"),
         "rating_totals": _with(
             _RATINGS,
@@ -385,6 +398,18 @@ FROM ranked JOIN items USING (item_id) WHERE rank <= 10""",
         "tag_usage": _with(
             _TAGS, "SELECT tag_name, count(*) AS number FROM part_words GROUP BY tag_name"
         ),
+        "top_tags": _with(
+            _TAGS,
+            """SELECT tag_name, count(*) AS number FROM part_words GROUP BY tag_name
+ORDER BY number DESC, tag_name LIMIT 10""",
+        ),
+        "profile_tag_tables": _with(
+            f"""{_TAGS},
+book_tags AS (
+  SELECT p_partkey + 1000000 AS goodreads_book_id, tag_id FROM part_words JOIN tags USING (tag_name))""",
+            _profile("tags", "tags", 2, ("tag_id",)) + " UNION ALL "
+            + _profile("book_tags", "book_tags", 3, ("goodreads_book_id", "tag_id")),
+        ),
         "genre_tags": _with(_TAGS, "SELECT tag_id, tag_name FROM genre_tags"),
         "tag_documents": _with(_TAGS, "SELECT id, title, text FROM docs"),
         "term_counts": _with(_terms(_TAGS), "SELECT id, term, tf FROM terms"),
@@ -403,6 +428,17 @@ FROM ranked JOIN items USING (item_id) WHERE rank <= 10""",
         "fold_accents": "SELECT doc_id AS id, strip_accents(lower(text)) AS folded FROM documents",
         "next_utterance": _with(_CONSECUTIVE, "SELECT conv_id, pos, next_text FROM said"),
         "dialog_pairs": _with(_PAIRS, "SELECT conv_id, pos, input, target FROM pairs"),
+        "dialog_pairs_first": _with(
+            _CONSECUTIVE,
+            f"""SELECT conv_id, pos, {_clean_b('text')} AS input, {_clean_b('next_text')} AS target
+FROM (SELECT * FROM said WHERE next_text IS NOT NULL ORDER BY conv_id, pos LIMIT {CAP})""",
+        ),
+        "subword_round_trip": _with(
+            _CONSECUTIVE,
+            f"""SELECT conv_id, pos, trim(regexp_replace({_clean_b('text')}, ' +', ' ', 'g')) AS input,
+trim(regexp_replace({_clean_b('next_text')}, ' +', ' ', 'g')) AS target
+FROM (SELECT * FROM said WHERE next_text IS NOT NULL ORDER BY conv_id, pos LIMIT 50000)""",
+        ),
         "dialog_pairs_capped": _with(
             _CONSECUTIVE,
             f"""SELECT conv_id, pos, {_clean_b('text')} AS input, {_clean_b('next_text')} AS target
@@ -425,6 +461,9 @@ UNION ALL SELECT 'pairs', (SELECT count(*) FROM kept), (SELECT count(*) FROM sho
             """SELECT pair_id, array_to_string(input_ids, ' ') AS input_ids,
 array_to_string(target_ids, ' ') AS target_ids FROM encoded""",
         ),
+        "draw_trimmed_pairs": _with(
+            f"{_trimmed(2)},\n{_drawn('kept')}", "SELECT draw, pair_id FROM drawn"
+        ),
         "draw_pairs": _with(_DRAWN, "SELECT draw, pair_id FROM drawn"),
         "batches": _with(
             _BATCHES,
@@ -454,6 +493,11 @@ max_target_len FROM grouped""",
             _SLUGS,
             """SELECT tag_name, min(page_id) AS page_id, 0 AS pos FROM slugs GROUP BY tag_name""",
         ),
+        "page_genres": _with(
+            _attribute("a", "href"),
+            """SELECT substr(value, 2) AS tag_name, min((page_id, pos))[1] AS page_id,
+min((page_id, pos))[2] AS pos FROM found WHERE value LIKE '/%' GROUP BY 1""",
+        ),
         "first_char_class": _with(
             _attribute("a", "href"),
             r"""SELECT page_id, pos, w AS word, CASE WHEN regexp_matches(w, '^[\p{Lu}\p{Nd}]')

@@ -20,7 +20,7 @@ RATING_LABELS = {
 
 def genres(pages: DataFrame, pattern: str = "/genres/") -> DataFrame:
     """Distinct genre names with the place of their first link."""
-    return web.distinct_slugs(web.links(pages, pattern))
+    return web.distinct_slugs(web.links(pages, pattern, parsed=True))
 
 
 def own_ratings(pages: DataFrame, labels: dict[str, int] = RATING_LABELS) -> DataFrame:

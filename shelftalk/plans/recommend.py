@@ -23,7 +23,7 @@ def clean_ratings(
     """Own ratings merged, duplicates collapsed, inactive users and rare books removed."""
     merged = ratings if own is None else R.merge_own(ratings, own, books, user_id)
     collapsed = materialize(R.collapse(merged))
-    active = R.keep_active(collapsed, more_than)
+    active = materialize(R.keep_active(collapsed, more_than))
     return R.keep_popular(active, at_least)
 
 

@@ -98,5 +98,11 @@ def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def genre_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages with every local link below ``/genres``."""
+    moved = F.replace("html", F.lit('href="/'), F.lit('href="/genres/'))
+    return pages(spark, sf_dir).withColumn("html", moved)
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "pages"), "page_id")

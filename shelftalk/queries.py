@@ -13,7 +13,7 @@ from shelftalk.operators import collab, content, dialog, subwords, tables, web
 from shelftalk.operators import ratings as R
 from shelftalk.operators import vocabulary as V
 from shelftalk.operators.ordering import with_next
-from shelftalk.plans import dialogs, recommend, standins as S
+from shelftalk.plans import dialogs, pages as page_plans, recommend, standins as S
 from shelftalk.sources import files
 from shelftalk.sources.scratch import materialize, new_path
 
@@ -23,6 +23,8 @@ SUPPORT = 20
 SWEEP = (200, 160, 25, 20)
 MAX_WORDS = 60
 TITLE = "red widget"
+POPULAR = 460
+CAP = 20
 QUERIES: dict[str, Query] = {}
 
 
@@ -52,6 +54,12 @@ def ratings_duplicates(spark, d):
     return R.duplicate_report(own_ratings_merge(spark, d))
 
 
+@query
+def most_duplicated(spark, d):
+    counted = ratings_duplicates(spark, d)
+    return counted.orderBy(F.desc("n_ratings"), "user_id", "book_id").limit(10)
+
+
 @query
 def ratings_collapse(spark, d):
     return R.collapse(own_ratings_merge(spark, d))
@@ -79,9 +87,14 @@ def popular_items(spark, d):
     return _cleaned(spark, d)
 
 
+@query
+def popular_items_strict(spark, d):
+    return R.keep_popular(materialize(_active(spark, d)), POPULAR)
+
+
 @query
 def rating_totals(spark, d):
-    return R.with_totals(ratings_collapse(spark, d), "user_id", "total_ratings")
+    return R.with_totals(materialize(ratings_collapse(spark, d)), "user_id", "total_ratings")
 
 
 @query
@@ -218,6 +231,22 @@ def tag_usage(spark, d):
     return content.tag_usage(book_tags, tag_table)
 
 
+@query
+def top_tags(spark, d):
+    return tables.top(tag_usage(spark, d), "number", 10, "tag_name")
+
+
+@query
+def profile_tag_tables(spark, d):
+    tag_table, book_tags = _tags(spark, d)
+    return tables.profiles(
+        [
+            ("tags", tag_table, ["tag_id"]),
+            ("book_tags", book_tags, ["goodreads_book_id", "tag_id"]),
+        ]
+    )
+
+
 @query
 def genre_tags(spark, d):
     return content.genre_tags(S.tags(spark, d), S.genres(spark)).select("tag_id", "tag_name")
@@ -320,6 +349,11 @@ def dialog_pairs_capped(spark, d):
     return dialog.dialog_pairs_capped(S.utterances(spark, d))
 
 
+@query
+def dialog_pairs_first(spark, d):
+    return dialog.dialog_pairs_capped(S.utterances(spark, d), CAP)
+
+
 def _cleaned_pairs(spark, d):
     return dialog.clean_pairs(dialog.dialog_pairs(S.utterances(spark, d)), X.clean_folded)
 
@@ -360,8 +394,8 @@ def trim_stats(spark, d):
     return V.trim_statistics(words, trimmed, short, kept).withColumn("ratio", F.round("ratio", 6))
 
 
-def _prepared(spark, d):
-    return dialogs.prepare(S.utterances(spark, d), MAX_WORDS, 1)
+def _prepared(spark, d, min_count: int = 1):
+    return dialogs.prepare(S.utterances(spark, d), MAX_WORDS, min_count)
 
 
 @query
@@ -397,6 +431,11 @@ def batches(spark, d):
     )
 
 
+@query
+def draw_trimmed_pairs(spark, d):
+    return B.draws(_prepared(spark, d, 2).pairs, 64 * 400, seed=7)
+
+
 @query
 def decode_ids(spark, d):
     ready = _prepared(spark, d)
@@ -424,6 +463,21 @@ def subword_encode(spark, d):
     )
 
 
+@query
+def subword_round_trip(spark, d):
+    pairs = materialize(dialog.dialog_pairs_capped(S.utterances(spark, d)))
+    pieces = subwords.build_subwords(_corpus(pairs))
+    encode = subwords.subword_encoder(pieces)
+    sides = ("input", "target")
+    ids = materialize(
+        pairs.select(F.struct("conv_id", "pos").alias("place"), *[encode(F.col(s)).alias(s) for s in sides])
+    )
+    texts = [
+        subwords.decode_subwords(ids, pieces, "place", s).withColumnRenamed("text", s) for s in sides
+    ]
+    return texts[0].join(texts[1], "place").select("place.*", "input", "target")
+
+
 @query
 def sample_pairs(spark, d):
     return dialog.sample_pairs(_cleaned_pairs(spark, d))
@@ -453,6 +507,11 @@ def page_slugs(spark, d):
     return web.distinct_slugs(urls)
 
 
+@query
+def page_genres(spark, d):
+    return page_plans.genres(S.genre_pages(spark, d))
+
+
 @query
 def first_char_class(spark, d):
     words = web.links(S.pages(spark, d), "/").select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ GENRES = "_c0 long, tag_name string"
 OWN_RATINGS = "_c0 long, title string, rating int"
 
 _PLACE = ("_file", "_block", "_at")
+_RECORD = "_record"  # text of a record whose number of fields differs
 
 
 def read_table(spark: SparkSession, path: str, schema: str, drop_index: bool = False) -> DataFrame:
@@ -47,14 +49,25 @@ def with_place(df: DataFrame) -> DataFrame:
 def read_fields(
     spark: SparkSession, path: str, fields: Sequence[str], encoding: str = "ISO-8859-1"
 ) -> DataFrame:
-    """Lines split at the dialog separator, fields named by position, with row places."""
-    schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
-    raw = spark.read.schema(schema).csv(
+    """Lines split at the dialog separator, fields named by position, with row places.
+
+    A record with fewer fields is an error; fields beyond the named ones are left out, and so
+    are empty lines.
+    """
+    schema = T.StructType([T.StructField(f, T.StringType()) for f in (*fields, _RECORD)])
+    # Without column pruning, so that fields are counted however few are selected.
+    raw = spark.read.schema(schema).option("columnPruning", False).csv(
         path, sep=FIELD_SEPARATOR, encoding=encoding, quote="", escape="",
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        columnNameOfCorruptRecord=_RECORD,
     )
-    placed = with_place(raw)
-    return placed.withColumns({f: F.coalesce(f, F.lit("")) for f in fields})
+    n_fields = F.size(F.split(_RECORD, re.escape(FIELD_SEPARATOR)))
+    short = F.raise_error(F.concat(F.lit("record with too few fields: "), _RECORD)).cast("string")
+    whole = {
+        f: F.when(n_fields < len(fields), short).otherwise(F.coalesce(f, F.lit("")))
+        for f in fields
+    }
+    return with_place(raw).withColumns(whole).drop(_RECORD)
 
 
 def read_lines(

@@ -128,3 +128,27 @@ def test_batches_are_consistent(spark):
 def test_cleaning_keeps_other_columns(pairs):
     got = dialog.clean_pairs(pairs.withColumn("extra", F.lit(1)), clean_folded)
     assert set(got.columns) == {"conv_id", "pos", "input", "target", "extra"} and got.count() == 3
+
+
+def test_draws_are_independent(spark):
+    pairs = spark.range(5000).withColumnRenamed("id", "pair_id")
+    drawn = [r["pair_id"] for r in B.draws(pairs, 5000, seed=3).orderBy("draw").collect()]
+    assert 0.60 < len(set(drawn)) / 5000 < 0.66
+    steps = {(b - a) % 5000 for a, b in zip(drawn, drawn[1:])}
+    assert len(steps) > 2500
+    assert min(drawn) >= 0 and max(drawn) < 5000
+
+
+def test_capped_pairs_keep_order_and_cap(spark):
+    said = spark.createDataFrame(
+        [(c, p, f"say {c} {p}") for c in range(4) for p in range(5)],
+        "conv_id long, pos long, text string",
+    )
+    every = dialog.dialog_pairs_capped(said, 100).orderBy("conv_id", "pos").collect()
+    assert len(every) == 16
+    for cap in (1, 4, 5, 16):
+        got = dialog.dialog_pairs_capped(said, cap).orderBy("conv_id", "pos").collect()
+        assert got == every[:cap]
+    assert dialog.dialog_pairs_capped(said.limit(0), 3).count() == 0
+    with pytest.raises(ValueError):
+        dialog.dialog_pairs_capped(said, 0)

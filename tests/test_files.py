@@ -93,3 +93,15 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert all(f"{folder}/" in f for f in stored.inputFiles())
     delete_tables(spark, [stored])
     assert set(os.listdir(folder)) == before
+
+
+def test_short_record_is_an_error(spark, tmp_path):
+    sep = files.FIELD_SEPARATOR
+    whole, more, empty = ["L1", "u0", "m0", "BIANCA", "Hi."], list("abcdef"), ["L2", "", "", "", ""]
+    path = tmp_path / "lines.txt"
+    path.write_text("\n".join(sep.join(r) for r in (whole, more, empty)) + "\n")
+    rows = files.read_fields(spark, str(path), files.LINE_FIELDS).orderBy("lineID").collect()
+    assert [[r[c] for c in files.LINE_FIELDS] for r in rows] == [whole, empty, more[:5]]
+    path.write_text(sep.join(whole) + "\n" + sep.join(whole[:3]) + "\n")
+    with pytest.raises(Exception, match="too few fields"):
+        files.read_fields(spark, str(path), files.LINE_FIELDS).select("text").collect()

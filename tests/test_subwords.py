@@ -40,3 +40,12 @@ def test_flow(spark):
     said = spark.createDataFrame([(0, i, t) for i, t in enumerate(TEXTS)], "conv_id long, pos long, text string")
     pieces, encoded = dialogs.prepare_subwords(said, cap=10, target_size=50)
     assert encoded.count() == 10 and pieces.count() <= 50
+
+
+def test_decoding_keeps_empty_and_rejects_unknown(spark):
+    pieces = spark.createDataFrame([("ab_", 1, 1), ("c_", 2, 1)], "piece string, id int, n long")
+    rows = spark.createDataFrame([(1, [3, 1, 2, 4, 0]), (2, [])], "k long, ids array<int>")
+    got = W.decode_subwords(rows, pieces, "k", "ids").orderBy("k").collect()
+    assert got == [(1, "ab c"), (2, "")]
+    with pytest.raises(Exception, match="unknown subword id"):
+        W.decode_subwords(rows.selectExpr("k", "array(9) ids"), pieces, "k", "ids").collect()

@@ -59,3 +59,10 @@ def test_zip_within_page(spark, rows):
     bad = spark.createDataFrame([(1, ["a", "b"], ["x"])], "page_id long, l array<string>, r array<string>")
     with pytest.raises(Exception, match="different lengths"):
         web.zip_within_page(bad, "l", "r", ("title", "label")).collect()
+
+
+def test_parsed_links_read_loose_markup(spark):
+    html = '<a href=/genres/q>q</a><p><a href="/genres/a&amp;b">x</a>'
+    pages_ = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    found = web.links(pages_, "/genres/", parsed=True).orderBy("pos").collect()
+    assert [r["href"] for r in found] == ["/genres/q", "/genres/a&b"]
