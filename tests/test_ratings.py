@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 import pytest
@@ -137,11 +138,36 @@ def test_recommend_all_against_brute_force(spark):
     assert got == want
 
 
-def test_ratings_too_low_to_be_marked_are_an_error(spark, rated, books):
-    model = edges_of(rated, books, 3)
-    zero = spark.createDataFrame([(9, 10, 0.0)], model.by_title.schema)
-    with pytest.raises(Exception, match="below 0.5"):
-        collab.recommend_all(model.by_title.unionByName(zero), model.edges).collect()
+def test_recommend_all_takes_any_rating(spark):
+    """Ratings of zero, below a half and below zero rank as for one user alone."""
+    r = random.Random(1)
+    items = range(-4, 8)
+    rows = [
+        (u, i, float(r.choice([-2, 0, 0.25, 0.5, 40])))
+        for u in range(12) for i in items if r.random() < 0.5
+    ]
+    edges = [
+        (a, b, r.uniform(-1, 1), 5) for a in items for b in items if a < b and r.random() < 0.7
+    ]
+    by_title = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+    near = spark.createDataFrame(edges, "item_a long, item_b long, score double, n long")
+    got = {}
+    for x in collab.recommend_all(by_title, near, 4).orderBy("user_id", "rank").collect():
+        got.setdefault(x["user_id"], []).append((x["item_id"], round(x["score"], 6) + 0.0))
+    want = {}
+    for u in range(12):
+        mine = {i: x for v, i, x in rows if v == u}
+        totals = {}
+        for a, b, s, _ in edges:
+            for here, there in ((a, b), (b, a)):
+                if here in mine:
+                    totals[there] = totals.get(there, 0) + s * mine[here]
+        fresh = sorted((-round(v, 12), b) for b, v in totals.items() if b not in mine)[:4]
+        if fresh:
+            want[u] = [(b, round(-v, 6) + 0.0) for v, b in fresh]
+    assert got == want
+    alone = collab.recommend_user(by_title, near, 3, 4).collect()
+    assert [x["item_id"] for x in alone] == [i for i, _ in got[3]]
 
 
 def test_partitioning_does_not_matter(spark, rated, books):
