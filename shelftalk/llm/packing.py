@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import json
 import zlib
 from collections.abc import Iterator
@@ -174,63 +173,129 @@ def best_fit(lengths: np.ndarray, size: int) -> list[list[int]]:
     return bins
 
 
-def _exchange(source: list[int], target: list[int], n: np.ndarray, room: int) -> bool:
-    """Move an item, or swap two or one of ``source`` for one of ``target``, so that the target
-    gains as much as its room allows. False if nothing makes it fuller."""
-    ones = [(i,) for i in source]
-    twos = list(itertools.combinations(source, 2))
-    out_of = ones + twos
-    total = n[[i for (i,) in ones]]
-    if twos:
-        total = np.concatenate([total, n[np.array(twos)].sum(axis=1)])
-    back = np.concatenate([[0], n[target]])  # 0: nothing comes back
-    gain = total[:, None] - back
-    gain[len(ones) :, 0] = 0  # two alone would be two moves
-    gain[gain > room] = 0
-    best = int(gain.argmax())
-    if gain.flat[best] <= 0:
-        return False
-    move = out_of[best // len(back)], (None if best % len(back) == 0 else target[best % len(back) - 1])
-    out, back = move
-    for i in out:
-        source.remove(i)
-        target.append(i)
-    if back is not None:
-        target.remove(back)
-        source.append(back)
-    return True
-
-
-def local_search(bins: list[list[int]], lengths: np.ndarray, size: int, partners: int = 12) -> list[list[int]]:
+class _OpenBins:
+    """Underfull bins with an index from lengths and pair sums to the bins that hold them.
+
+    Items of one length are interchangeable, so a bin is a dictionary from lengths to items.
+    Sets of lengths are rows of two tables (single lengths, sums of two items) and, for
+    shifting, whole numbers with a bit for each length.
+    """
+
+    def __init__(self, bins: list[list[int]], lengths: list[int], size: int):
+        self.size, self.width = size, size // 8 + 1
+        self.items: list[dict[int, list[int]]] = []
+        for b in bins:
+            own: dict[int, list[int]] = {}
+            for i in b:
+                own.setdefault(lengths[i], []).append(i)
+            self.items.append(own)
+        self.fill = np.array([sum(lengths[i] for i in b) for b in bins], dtype=np.int64)
+        shape = (len(bins), 8 * self.width)
+        self.holds = np.zeros((2, *shape), dtype=np.uint8)  # single lengths, pair sums
+        self.count = np.zeros((2, shape[1]), dtype=np.int32)  # open bins with each of them
+        self.bits = [(0, 0)] * len(bins)
+        self.least = np.zeros((2, shape[1]), dtype=np.int64)
+        for b in range(len(bins)):
+            self._index(b)
+
+    def _index(self, b: int) -> None:
+        """Enter the items of ``b`` as they are; a full bin leaves the index."""
+        ones = twos = 0
+        if self.fill[b] < self.size:
+            for n in self.items[b]:
+                ones |= 1 << n
+            for n, same in self.items[b].items():
+                twos |= (ones if len(same) > 1 else ones ^ 1 << n) << n
+        self.bits[b] = ones, twos
+        for kind, x in enumerate((ones, twos)):
+            row = np.unpackbits(np.frombuffer(x.to_bytes(self.width, "little"), np.uint8), bitorder="little")
+            self.count[kind] += row
+            self.count[kind] -= self.holds[kind, b]
+            self.holds[kind, b] = row
+            np.minimum(self.least[kind], self.fill[b], out=self.least[kind], where=row.view(bool))
+
+    def refresh(self) -> None:
+        """``least``: no bin with a length or sum is emptier than this."""
+        for kind in (0, 1):
+            of = np.where(self.holds[kind], self.fill[:, None].astype(np.int32), np.int32(1 << 30))
+            self.least[kind] = of.min(axis=0)
+
+    def best(self, target: int) -> tuple[int, int, int, int, int] | None:
+        """The largest gain for ``target`` that raises squared fill: source, lengths out and back
+        with their kinds (0 one item, 1 two). None if no open bin has one."""
+        fill = int(self.fill[target])
+        room = (1 << self.size - fill + 1) - 2  # gains of 1 to the room
+        ones, twos = (
+            int.from_bytes(np.packbits(n > own[target], bitorder="little").tobytes(), "little")
+            for n, own in zip(self.count, self.holds, strict=True)
+        )
+        found = [(gains, 0, 0, 0)] if (gains := ones & room) else []
+        for n in self.items[target]:
+            found += [(g, 0, n, 0) for g in [ones >> n & room] if g]
+            found += [(g, 1, n, 0) for g in [twos >> n & room] if g]
+        back = self.bits[target][1]
+        while back and (n := (back & -back).bit_length() - 1) < ones.bit_length():
+            back ^= 1 << n
+            found += [(g, 0, n, 1) for g in [ones >> n & room] if g]
+        every = 0
+        for gains, *_ in found:
+            every |= gains
+        while every:
+            gain = every.bit_length() - 1
+            every ^= 1 << gain
+            for gains, kind, back, two in found:
+                # squared fill grows if the target ends fuller than the source was
+                if gains >> gain & 1 and self.least[kind, gain + back] < fill + gain:
+                    sources = np.flatnonzero(self.holds[kind, :, gain + back])
+                    sources = sources[sources != target]
+                    at = int(sources[self.fill[sources].argmin()])
+                    if self.fill[at] < fill + gain:
+                        return at, gain + back, kind, back, two
+        return None
+
+    def _take(self, b: int, n: int, two: int) -> list[int]:
+        """An item of length ``n``, or two of that sum, out of bin ``b``."""
+        own = self.items[b]
+        if two:
+            first = next(x for x in own if n - x in own and (2 * x != n or len(own[x]) > 1))
+            return self._take(b, first, 0) + self._take(b, n - first, 0)
+        item = own[n].pop()
+        if not own[n]:
+            del own[n]
+        return [item]
+
+    def exchange(self, lengths: list[int], target: int, source: int, n: int, kind: int, back: int, two: int) -> None:
+        out = self._take(source, n, kind)
+        returned = self._take(target, back, two) if back else []
+        for b, given in ((target, out), (source, returned)):
+            for i in given:
+                self.items[b].setdefault(lengths[i], []).append(i)
+        self.fill[target] += n - back
+        self.fill[source] -= n - back
+        self._index(target)
+        self._index(source)
+
+
+def local_search(bins: list[list[int]], lengths: np.ndarray, size: int) -> list[list[int]]:
     """Exchange items between underfull bins as long as the sum of squared fills grows.
 
-    The emptiest bin gives to the fuller ones (a move, one for one, two for one); every
-    accepted exchange makes the fuller bin fuller, so squared fill grows and the emptiest bin
-    runs empty or gets stuck. A stuck bin is set aside. ``partners`` bounds the bins tried per
-    exchange round, not the items.
+    Moves, one for one, two for one and one for two, between any two underfull bins. Every bin
+    in turn takes its largest gain from whatever bin offers it, of several from the emptiest;
+    the search ends when no bin finds one, so no exchange of these kinds is left.
     """
     own = lengths.tolist()
-    fill = lambda b: sum([own[i] for i in b])
-    done = [b for b in bins if fill(b) == size]
-    open_bins = sorted((b for b in bins if fill(b) < size), key=fill)
-    while len(open_bins) > 1:
-        source = open_bins[0]
+    fill = [sum([own[i] for i in b]) for b in bins]
+    done = [b for b, n in zip(bins, fill, strict=True) if n >= size]
+    rest = _OpenBins([b for b, n in zip(bins, fill, strict=True) if n < size], own, size)
+    moved = len(rest.items) > 1
+    while moved:
         moved = False
-        # the most room first: it takes the most at once
-        for target in open_bins[1 : 1 + partners]:
-            room = size - fill(target)
-            while source and room > 0 and fill(target) >= fill(source) and _exchange(source, target, lengths, room):
-                moved, room = True, size - fill(target)
-            if not source:
-                break
-        if not source:
-            open_bins.pop(0)
-        elif not moved:
-            done.append(open_bins.pop(0))
-        full = [b for b in open_bins if fill(b) == size]
-        done += full
-        open_bins = sorted((b for b in open_bins if fill(b) < size), key=fill)
-    return done + open_bins
+        rest.refresh()
+        for target in np.argsort(-rest.fill, kind="stable").tolist():
+            while 0 < rest.fill[target] < size and (found := rest.best(target)):
+                rest.exchange(own, target, *found)
+                moved = True
+    return done + [[i for same in b.values() for i in same] for b in rest.items if b]
 
 
 def pack_pieces(

@@ -176,6 +176,38 @@ def test_local_search_empties_bins():
     assert sorted(i for b in packed for i in b) == list(range(8)) and len(packed) == 2
 
 
+def exchanges_left(bins, n, size):
+    """Moves and swaps between underfull bins that raise squared fill."""
+    underfull = [[n[i] for i in b] for b in bins if sum(n[i] for i in b) < size]
+    pairs = lambda b: [x + y for k, x in enumerate(b) for y in b[:k]]
+    for a in underfull:
+        for b in underfull:
+            gains = [x - y for x in a for y in [0, *b]]
+            gains += [x - y for x in pairs(a) for y in b] + [x - y for x in a for y in pairs(b)]
+            least = max(0, sum(a) - sum(b))
+            if a is not b and any(least < g <= size - sum(b) for g in gains):
+                return True
+    return False
+
+
+def test_local_search_leaves_no_exchange():
+    import numpy as np
+
+    # 9 + 3 and 7 + 6 in bins of 15: only the less full bin can gain, by 6 for 3
+    assert exchanges_left([[0, 1], [2, 3]], [9, 3, 7, 6], 15)
+    gained = packing.local_search([[0, 1], [2, 3]], np.array([9, 3, 7, 6]), 15)
+    assert sorted(sorted(b) for b in gained) == [[0, 3], [1, 2]]
+    draws = np.random.default_rng(5)
+    for k in range(60):
+        size = int(draws.integers(20, 200))
+        n = np.maximum(1, draws.integers(1, size + 1, int(draws.integers(2, 80))) // (1 + k % 4))
+        bins = packing.best_fit(n, size) if k % 2 else [[i] for i in range(len(n))]
+        packed = packing.local_search([list(b) for b in bins], n, size)
+        assert sorted(i for b in packed for i in b) == list(range(len(n)))
+        assert max(n[b].sum() for b in packed) <= size
+        assert not exchanges_left(packed, n.tolist(), size)
+
+
 def windows_brute(units_of, join, count_spans):
     first, out = {}, []
     cut = [(float("inf") if i is None else i, units_of(t or "")) for i, t, *_ in ROWS]
