@@ -11,16 +11,22 @@ from shelftalk.llm.common import SPACE, whole_texts
 from shelftalk.sources.scratch import materialize
 
 
-def fill_shards(loads: np.ndarray, shards: int) -> np.ndarray:
+#: A load above this share of its level's average block is placed on the level before.
+FINE = 128
+
+
+def fill_shards(loads: np.ndarray, shards: int, taken: np.ndarray | None = None) -> np.ndarray:
     """Shard of each load (rows of ``loads``: bytes, tokens, rows).
 
-    Every shard may take an equal share of each dimension. Loads are placed largest first,
+    Every shard may take an equal share of each dimension, less what it has ``taken`` (a row
+    for each shard) already. Loads are placed largest first,
     each where its dot product with the residual capacity, both as shares, is highest, among
     the shards whose room for it holds; when none has room, where the largest overrun is least.
     """
-    total = np.maximum(loads.sum(axis=0), 1)
+    taken = np.zeros((shards, loads.shape[1])) if taken is None else taken
+    total = np.maximum(loads.sum(axis=0) + taken.sum(axis=0), 1)
     share = loads / total
-    room = np.full((shards, loads.shape[1]), 1.0 / shards)
+    room = 1.0 / shards - taken / total
     where = np.empty(len(loads), dtype=np.int32)
     for i in np.argsort(-share.max(axis=1), kind="stable"):
         left = room - share[i]
@@ -34,13 +40,17 @@ def fill_shards(loads: np.ndarray, shards: int) -> np.ndarray:
     return where
 
 
-def _even_bytes(sizes: np.ndarray, where: np.ndarray, shards: int) -> np.ndarray:
+def _even_bytes(sizes: np.ndarray, where: np.ndarray, shards: int, taken: np.ndarray | float = 0.0) -> np.ndarray:
     """Move and swap single loads between the fullest and the emptiest shard while that
-    brings their bytes closer; the joint placement leaves only small differences."""
+    brings their bytes closer; the joint placement leaves only small differences.
+
+    ``taken``: bytes each shard holds already. A shard without loads here is not the fullest.
+    """
     where = where.copy()
-    filled = np.bincount(where, weights=sizes, minlength=shards)
+    filled = np.bincount(where, weights=sizes, minlength=shards) + taken
     for _ in range(64 * shards):
-        high, low = int(filled.argmax()), int(filled.argmin())
+        here = np.bincount(where, minlength=shards) > 0
+        high, low = int(np.where(here, filled, -np.inf).argmax()), int(filled.argmin())
         gap = filled[high] - filled[low]
         ours, theirs = np.flatnonzero(where == high), np.flatnonzero(where == low)
         if gap <= 1 or not len(ours):
@@ -63,6 +73,14 @@ def _even_bytes(sizes: np.ndarray, where: np.ndarray, shards: int) -> np.ndarray
     return where
 
 
+def block_counts(groups: int, block: int) -> list[int]:
+    """Blocks on each level: one, then ``block / FINE``-fold more, at last ``groups / block``."""
+    last, levels = max(1, -(-groups // block)), [1]
+    while levels[-1] < last:
+        levels.append(min(last, levels[-1] * max(2, block // FINE)))
+    return levels
+
+
 def vector_shards(
     df: DataFrame, shards: int = 8, block: int = 5000, slack: int = 16, run: int = 20_000
 ) -> DataFrame:
@@ -72,9 +90,14 @@ def vector_shards(
       counted with map-side sums. A group above ``1 / (shards * slack)`` of any total is dealt
       by ``doc_id`` into parts below it. There are at most ``3 * shards * slack`` such groups,
       so that table alone is broadcast.
-    * Groups are hashed into blocks of about ``block``; each block is packed by
-      :func:`fill_shards` on its own, its shards rotated by the block number so that no shard
-      always gets the first pick.
+    * Loads (groups and parts) are placed level by level, the heaviest first: on one block,
+      then on ``block / 128``-fold more blocks each time, up to blocks of about ``block``
+      groups. A level takes what weighs more than one in ``block`` of its average block, at
+      most ``3 * block`` loads a block; the first takes all parts, too, the last one the rest. So no load is more than
+      1/128 of the average block it is placed in, but for those on the one block of the first.
+    * Each block is packed by :func:`fill_shards`, given its part of what the shards took on
+      the levels before; the order of the shards is rotated by the block number so that no
+      shard always gets the first pick.
     * Slots are gapless: a row number in runs of about ``run`` rows plus the sizes of the
       runs before.
 
@@ -111,6 +134,8 @@ def vector_shards(
             )
         ]
     ).cast("int")
+    # as many parts for each shard, if there is one for each
+    parts = F.when(parts > shards, F.ceil(parts / shards) * shards).otherwise(parts).cast("int")
     # at most 3 * shards * slack groups hold more than that share of one of three totals
     hot = groups.where("n > 1").select(*group, parts.alias("parts")).where("parts > 1")
     dealt = rows.join(F.broadcast(hot), group, "left").withColumn(
@@ -119,21 +144,53 @@ def vector_shards(
             F.pmod(F.xxhash64("doc_id", "copy"), F.col("parts")), F.lit(0)
         ).cast("int"),
     )
-    blocks = max(1, -(-(total["groups"] or 0) // block))
     loads = dealt.groupBy(*group, "part").agg(
-        F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("n")
-    ).withColumn("block", F.pmod(F.xxhash64(*group, "part"), F.lit(blocks)).cast("int"))
-
-    def place(block_of: pd.DataFrame) -> pd.DataFrame:
-        own = block_of.sort_values([*group, "part"], kind="stable").reset_index(drop=True)
-        vectors = own[["bytes", "tokens", "n"]].to_numpy(dtype=np.float64)
-        where = _even_bytes(vectors[:, 0], fill_shards(vectors, shards), shards)
-        own["shard"] = (where + int(own["block"].iloc[0])) % shards
-        return own[[*group, "part", "shard"]]
-
-    placed = loads.groupBy("block").applyInPandas(
-        place, "copy long, text_crc32 long, size long, part int, shard int"
+        F.sum("size").alias("bytes"),
+        F.sum("tokens").alias("tokens"),
+        F.count("*").alias("n"),
+        F.max("parts").isNotNull().alias("hot"),
     )
+    share = F.greatest(
+        *[
+            F.col(load) / F.lit(float(max(total[name] or 0, 1)))
+            for load, name in (("bytes", "size"), ("tokens", "tokens"), ("n", "n"))
+        ]
+    )
+    levels = block_counts(total["groups"] or 0, block)
+    level = F.lit(len(levels) - 1)
+    for k in reversed(range(len(levels) - 1)):
+        level = F.when(share > 1.0 / (block * levels[k]), k).otherwise(level)
+    loads = materialize(loads.withColumn("level", F.when(F.col("hot"), 0).otherwise(level)))
+
+    def placer(blocks: int, taken: np.ndarray):
+        def place(block_of: pd.DataFrame) -> pd.DataFrame:
+            own = block_of.sort_values([*group, "part"], kind="stable").reset_index(drop=True)
+            vectors = own[["bytes", "tokens", "n"]].to_numpy(dtype=np.float64)
+            first = int(own["block"].iloc[0]) % shards
+            before = np.roll(taken / blocks, -first, axis=0)
+            where = fill_shards(vectors, shards, before)
+            own["shard"] = (_even_bytes(vectors[:, 0], where, shards, before[:, 0]) + first) % shards
+            return own[[*group, "part", "shard", "bytes", "tokens", "n"]]
+
+        return place
+
+    placed, taken = None, np.zeros((shards, 3))
+    for k, blocks in enumerate(levels):
+        here = (
+            loads.where(F.col("level") == k)
+            .withColumn("block", F.pmod(F.xxhash64(*group, "part"), F.lit(blocks)).cast("int"))
+            .groupBy("block")
+            .applyInPandas(
+                placer(blocks, taken.copy()),
+                "copy long, text_crc32 long, size long, part int, shard int, bytes long, tokens long, n long",
+            )
+        )
+        if k < len(levels) - 1:  # what the shards hold so far is for the next level
+            here = materialize(here)
+            for r in here.groupBy("shard").agg(F.sum("bytes"), F.sum("tokens"), F.sum("n")).collect():
+                taken[r[0]] += r[1:]
+        here = here.select(*group, "part", "shard")
+        placed = here if placed is None else placed.unionByName(here)
     runs = max(1, -(-(total["n"] or 0) // (run * shards)))
     out = dealt.join(placed, [*group, "part"]).select(
         "doc_id", "size", "text_crc32", "shard", "copy",

@@ -317,6 +317,27 @@ def test_sharding(spark, docs):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+@pytest.mark.parametrize("copies", [[600], [12] * 90])
+def test_sharding_long_copies_many_blocks(spark, copies):
+    # long copies beside 3000 even texts: one group of a third of the rows, many just under 1/128
+    texts = [f"{g:03d} " + "copy " * 100 for g, n in enumerate(copies) for _ in range(n)]
+    texts += [f"{i:05d} " + "even " * 40 for i in range(3000)]
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for block in (50, 128 * 4):
+        got = sharding.vector_shards(made, block=block).collect()
+        assert sorted(r.doc_id for r in got) == list(range(len(texts)))
+        loads = [[0, 0, 0] for _ in range(8)]
+        shards_of = {}
+        for r in got:
+            text = texts[r.doc_id]
+            shards_of.setdefault(text, set()).add(r.shard)
+            for k, x in enumerate((r["size"], len(text.split()), 1)):
+                loads[r.shard][k] += x
+        for own in zip(*loads):
+            assert max(own) < 1.03 * sum(own) / 8
+        assert len(copies) == 1 or all(len(s) == 1 for s in shards_of.values())
+
+
 def test_classifier_held_out(spark):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
