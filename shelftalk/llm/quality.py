@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ BOILERPLATE = (
     "privacy policy", "sign in", "log in", "subscribe to", "click here", "read more",
     "share this", "back to top", "skip to content", "lorem ipsum",
 )
-_PLACE_BITS = 24  # of a packed window: its place below, its hash above
+_PLACE_BITS = 24  # of a packed window: its place below, its hash above; longer texts are not packed
 _PLACES = (1 << _PLACE_BITS) - 1
 
 
@@ -51,32 +53,82 @@ def line_verdict(
     )
 
 
-def _repeated_words(words: Column, windows: Column) -> Column:
-    """Words in windows of three that occur twice or more.
+def _repeats(
+    words: Column,
+    windows: Column,
+    place: Callable[[Column], Column],
+    alike: Callable[[Column, Column], Column],
+) -> Column:
+    """Places of windows of three words that have an equal neighbour among ``windows``.
 
-    ``windows``: sorted longs, a 40-bit hash above the place. Equal windows are neighbours;
-    the words themselves are compared, too.
+    ``windows`` are sorted by hash, ``place`` and ``alike`` read a window's place and compare
+    the hashes of two. A window with an alike neighbour of other words gives -1: some of its
+    equals may not be neighbours.
     """
-    place = lambda x: x.bitwiseAND(F.lit(_PLACES)).cast("int")
     at = lambda p: F.get(words, p)
 
-    def same(x: Column, y: Column) -> Column:
+    def equal(x: Column, y: Column) -> Column:
         p, q = place(x), place(y)
-        equal = (at(p) == at(q)) & (at(p + 1) == at(q + 1)) & (at(p + 2) == at(q + 2))
-        alike = F.shiftright(x, _PLACE_BITS) == F.shiftright(y, _PLACE_BITS)
-        return F.coalesce(alike & equal, F.lit(False))
+        return (at(p) == at(q)) & (at(p + 1) == at(q + 1)) & (at(p + 2) == at(q + 2))
 
-    found = F.filter(
-        F.transform(
-            windows,
-            lambda x, i: F.when(
-                same(x, F.get(windows, i - 1)) | same(x, F.get(windows, i + 1)), place(x)
-            ),
-        ),
-        lambda p: p.isNotNull(),
+    def found(x: Column, i: Column) -> Column:
+        before, after = F.get(windows, i - 1), F.get(windows, i + 1)
+        like = lambda y: F.coalesce(alike(x, y), F.lit(False))
+        other = lambda y: like(y) & ~equal(x, y)
+        return F.when(like(before) | like(after), F.when(other(before) | other(after), -1).otherwise(place(x)))
+
+    return F.filter(F.transform(windows, found), lambda p: p.isNotNull())
+
+
+def _covered(places: Column) -> Column:
+    """Words in the windows at ``places``."""
+    every = F.flatten(F.transform(places, lambda p: F.array(p, p + 1, p + 2)))
+    return F.size(F.array_distinct(every)).cast("long")
+
+
+def _repeated_words(step: DataFrame) -> DataFrame:
+    """``step`` with ``_repeats``: words of ``_words`` in windows of three that occur twice or more.
+
+    Windows are sorted as longs, 40 bits of the hash above the place. Where that can't tell,
+    because two windows share those bits or a place needs more than its own, the places are
+    sorted by the whole hash and the three words, so that equal windows are neighbours.
+    """
+    words, size = F.col("_words"), F.size("_words")
+    hash_of = lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2))
+    firsts = F.slice("_words", 1, F.greatest(size - 2, F.lit(0)))
+    packed = lambda w, i: F.shiftleft(hash_of(w, i), _PLACE_BITS).bitwiseOR(i.cast("long"))
+    fits = size <= _PLACES
+    step = step.select("*", F.when(fits, F.sort_array(F.transform(firsts, packed))).alias("_windows"))
+    step = step.select(
+        "*",
+        _repeats(
+            words,
+            F.col("_windows"),
+            lambda x: x.bitwiseAND(F.lit(_PLACES)).cast("int"),
+            lambda x, y: F.shiftright(x, _PLACE_BITS) == F.shiftright(y, _PLACE_BITS),
+        ).alias("_found"),
+    )
+    told = F.coalesce(~F.array_contains("_found", -1), F.lit(False))
+    step = step.select("*", F.when(~told, F.transform(firsts, hash_of)).alias("_hashes"))
+
+    def order(p: Column, q: Column) -> Column:
+        h, keys = F.col("_hashes"), F.lit(0)
+        pairs = [(F.get(words, p + k), F.get(words, q + k)) for k in (2, 1, 0)]
+        for x, y in [*pairs, (F.get(h, p), F.get(h, q))]:
+            keys = F.when(x < y, -1).when(x > y, 1).otherwise(keys)
+        return keys
+
+    places = F.sequence(F.lit(0), size - 3)
+    step = step.select("*", F.when(~told, F.array_sort(places, order)).alias("_sorted"))
+    same = lambda p, q: F.forall(
+        F.array(F.lit(0), F.lit(1), F.lit(2)), lambda k: F.get(words, p + k) == F.get(words, q + k)
+    )
+    return step.select(
+        "*",
+        F.when(told, _covered(F.col("_found")))
+        .otherwise(_covered(_repeats(words, F.col("_sorted"), lambda p: p, same)))
+        .alias("_repeats"),
     )
-    covered = F.flatten(F.transform(found, lambda p: F.array(p, p + 1, p + 2)))
-    return F.size(F.array_distinct(covered)).cast("long")
 
 
 def measure(
@@ -98,14 +150,8 @@ def measure(
     step = df.select(*own, text.alias("_text"))
     step = step.select("*", words_of(F.col("_text")).alias("_words"))
     size = F.size("_words")
-    window = lambda w, i: F.shiftleft(
-        F.xxhash64(w, F.get("_words", i + 1), F.get("_words", i + 2)), _PLACE_BITS
-    ).bitwiseOR(i.cast("long"))
-    step = step.select(
+    step = _repeated_words(step).select(
         "*",
-        F.sort_array(
-            F.transform(F.slice("_words", 1, F.greatest(size - 2, F.lit(0))), window)
-        ).alias("_windows"),
         F.filter(
             F.split("_text", "\n"), lambda x: F.btrim(x, F.lit(_BLANKS)) != ""
         ).alias("_lines"),
@@ -120,7 +166,6 @@ def measure(
             ),
         ).alias("_judged"),
         size.cast("long").alias("_n"),
-        _repeated_words(F.col("_words"), F.col("_windows")).alias("_repeats"),
         F.length(F.array_join("_words", "")).cast("long").alias("_chars"),
     )
     # a line's word characters: all but its blanks

@@ -317,6 +317,25 @@ def test_sharding(spark, docs):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+@pytest.mark.parametrize("limit", ["hash", "places"])
+def test_quality_windows_past_their_bits(spark, monkeypatch, limit):
+    if limit == "hash":  # every other window collides
+        real = quality.F.xxhash64
+        monkeypatch.setattr(quality.F, "xxhash64", lambda *c: quality.F.pmod(real(*c), quality.F.lit(2)))
+    else:
+        monkeypatch.setattr(quality, "_PLACE_BITS", 4)
+        monkeypatch.setattr(quality, "_PLACES", 15)
+    draws = random.Random(11)
+    texts = [" ".join(draws.choice(VOCABULARY[:n]) for _ in range(n * 9)) for n in (1, 2, 6, 12, 20, 30)]
+    texts += ["a b c " + " ".join(VOCABULARY) + " a b c", "one two", None]
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in quality.measure(made).collect():
+        w = WORD.findall(r.text or "")
+        runs = list(zip(w, w[1:], w[2:]))
+        n = Counter(runs)
+        assert r.quality.n_repeat_words == len({i + j for i, x in enumerate(runs) if n[x] > 1 for j in range(3)})
+
+
 @pytest.mark.parametrize("copies", [[600], [12] * 90])
 def test_sharding_long_copies_many_blocks(spark, copies):
     # long copies beside 3000 even texts: one group of a third of the rows, many just under 1/128
