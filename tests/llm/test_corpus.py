@@ -387,3 +387,13 @@ def test_pipeline_stages(spark, docs, tmp_path):
     assert Counter(r.doc_id for r in kept) == Counter(groups.values())
     cut = corpus_pipeline.repeated_bytes(spark, docs, str(tmp_path)).collect()
     assert len(cut) == len(ROWS) and all((r.text is None) == (r.n_chars is None) or r.text is None for r in cut)
+
+
+def test_pipeline_passes_cleaned_text(spark, tmp_path):
+    body = [" ".join(VOCABULARY[k : k + 8]) + "." for k in range(0, 160, 8)]
+    made = [(1, "\n".join(["Home | About | » Shop | »", *body, "", "Click here"]), "en", 7), (2, "\n".join(body), "en", 7), (3, "short", "en", 5)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string, n_chars long")
+    got = corpus_pipeline.quality_rules(spark, docs, str(tmp_path))
+    clean = "\n".join(body)
+    assert got.dtypes == docs.dtypes
+    assert sorted(map(tuple, got.collect())) == [(i, clean, "en", len(clean)) for i in (1, 2)]
