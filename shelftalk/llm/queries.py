@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelftalk.llm import bpe, classifier, fingerprints, licenses, packing, phrases, quality
-from shelftalk.llm import sharding, simhash, suffixes
+from shelftalk.llm import bpe, centroids, classifier, embeddings, fingerprints, licenses, packing
+from shelftalk.llm import phrases, quality, resampling, sharding, simhash, suffixes
 from shelftalk.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,19 @@ def op9_suffixes(spark, d):
 def op10_classifier(spark, d):
     labels = spark.read.parquet(f"{d}/labels.parquet")
     return classifier.score_documents(documents(spark, d), labels)
+
+
+@query
+def op11_resampling(spark, d):
+    target = spark.read.parquet(f"{d}/benchmark.parquet")
+    return resampling.resample(documents(spark, d), target)
+
+
+@query
+def op12_centroids(spark, d):
+    return centroids.cluster(spark.read.parquet(f"{d}/embeddings.parquet"))
+
+
+@query
+def op13_embeddings(spark, d):
+    return embeddings.near_duplicates(spark.read.parquet(f"{d}/embeddings.parquet"))
