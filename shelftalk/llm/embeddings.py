@@ -57,10 +57,16 @@ def folded(rows: list[np.ndarray], width: int) -> np.ndarray:
 
 
 class Quantiser:
-    """Centre, principal directions and rotation: sign bits of ``(x - centre) @ turn``."""
+    """Centre, principal directions and rotation: sign bits of ``(x - centre) @ turn``.
+
+    Vectors that are all close to their mean would differ in nothing but noise once it is taken
+    off. So no more of the mean goes than leaves half of the vectors' squared length.
+    """
 
     def __init__(self, sample: np.ndarray, bits: int, rounds: int = 40) -> None:
-        self.centre = sample.mean(axis=0)
+        mean = sample.mean(axis=0)
+        share = mean @ mean / np.einsum("ij,ij->i", sample, sample).mean()
+        self.centre = mean * (1 - np.sqrt(1 - 0.5 / share) if share > 0.5 else 1)
         x = sample - self.centre
         _, directions = np.linalg.eigh(x.T @ x)
         main = directions[:, ::-1][:, :bits]
@@ -141,16 +147,16 @@ def _encoded(nodes: DataFrame, quantiser: Quantiser) -> DataFrame:
     return nodes.select("node", "kind", "vector").mapInArrow(run, "node long, kind long, code long")
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Table]:
-    """Tables of whole groups from batches sorted by the first ``n`` columns."""
+def _whole_groups(batches: Iterator[pa.RecordBatch], by: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Tables of whole groups from batches sorted by the columns ``by``."""
     kept: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = np.stack([np.asarray(batch.column(i)) for i in range(n)])
+        keys = np.stack([np.asarray(batch.column(c)) for c in by])
         fresh = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
         if kept:
-            last = [c[-1].as_py() for c in kept[-1].columns[:n]]
+            last = [kept[-1].column(c)[-1].as_py() for c in by]
             if last != [int(k) for k in keys[:, 0]]:
                 fresh = np.concatenate([[0], fresh])
         if len(fresh):
@@ -221,7 +227,7 @@ def _candidates(coded: DataFrame, tables: Tables) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, len(_CELL)):
+        for table in _whole_groups(batches, _CELL):
             active = np.zeros(table.num_rows, dtype=bool)
             for a, b in _cell_pairs(table, tables):
                 active[a] = active[b] = True
@@ -250,7 +256,7 @@ def _checked(cells: DataFrame, tables: Tables, cosine: float) -> DataFrame:
     schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("root", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, len(_CELL)):
+        for table in _whole_groups(batches, _CELL):
             units = unit_rows(table.column("vector").combine_chunks())
             node, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
             label = table.column("label").combine_chunks().dictionary_encode().indices.to_numpy()

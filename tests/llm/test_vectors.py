@@ -230,10 +230,7 @@ def test_near_embeddings(spark):
     got = sorted((tuple(r) for r in embeddings.near_duplicates(df).collect()), key=repr)
     want = plain_links(rows, 0.98)
     assert sum(r[1] for r in want) > 40_000  # copies included
-    assert len(got) == len(want) and [r[0] for r in got] == [r[0] for r in want]
-    assert all(g[1] <= w[1] for g, w in zip(got, want))  # an index may miss a pair, never add one
-    assert sum(g == w for g, w in zip(got, want)) >= 0.98 * len(want)
-    assert sum(g[1] for g in got) >= 0.999 * sum(w[1] for w in want)
+    assert got == want
 
 
 def test_embeddings_in_blocks(spark, monkeypatch):
@@ -280,6 +277,6 @@ def test_pairs_and_groups():
     keys = [1, 1, 2, 2, 2, 3, 4, 4]
     for cut in range(9):
         parts = [pa.RecordBatch.from_pydict({"k": keys[a:b]}) for a, b in ((0, cut), (cut, 8))]
-        got = [t.column("k").to_pylist() for t in embeddings._whole_groups(parts, 1)]
+        got = [t.column("k").to_pylist() for t in embeddings._whole_groups(parts, ("k",))]
         assert sum(got, []) == keys
         assert all(not set(a) & set(b) for i, a in enumerate(got) for b in got[:i])
