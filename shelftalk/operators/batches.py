@@ -41,13 +41,13 @@ def draws(pairs: DataFrame, n_draws: int, seed: int = 0) -> DataFrame:
     """``(draw, pair_id)``: pairs drawn with replacement, the same for the same seed.
 
     ``pair_id`` must be dense. The MD5 of seed and draw number gives each draw 64 bits, whose
-    remainder by the number of pairs is the pair. Drawing from no pairs is an error.
+    remainder by the number of pairs is the pair. There are no draws from no pairs.
     """
     total = pairs.agg(F.count(F.lit(1))).scalar()
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")))
     bits = F.conv(F.substring(digest, 1, 16), 16, 10).cast("decimal(20,0)")
-    return pairs.sparkSession.range(n_draws).select(
-        F.col("id").alias("draw"), (bits % total).cast("long").alias("pair_id")
+    return pairs.sparkSession.range(n_draws).where(total > 0).select(
+        F.col("id").alias("draw"), (bits % F.nullif(total, F.lit(0))).cast("long").alias("pair_id")
     )
 
 

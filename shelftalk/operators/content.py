@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from shelftalk.functions.scores import ranking_key
 from shelftalk.functions.text import with_bigrams, word_tokens
-from shelftalk.operators.collab import best_per, both_ways
+from shelftalk.operators.collab import best_per
 from shelftalk.operators.products import tiled_product
+from shelftalk.operators.similarity import best_cosines, cosines_from
 from shelftalk.operators.tables import ordered_concat
 from shelftalk.sources.scratch import materialize
 
@@ -89,22 +90,29 @@ def _unit_cells(terms: DataFrame) -> DataFrame:
     )
 
 
+def profile_cells(docs: DataFrame, members: DataFrame, stop_words: Sequence[str]) -> DataFrame:
+    """Stored unit-length cells of one document of each profile."""
+    profiles = members.where(F.col("id") == F.col("profile")).select("id")
+    distinct = docs.join(profiles, "id", "left_semi")
+    return materialize(_unit_cells(term_counts(distinct, stop_words)))
+
+
 def cosine_pairs(
     docs: DataFrame,
     members: DataFrame,
     stop_words: Sequence[str] = (),
-    best: int | None = None,
+    least: float | None = None,
 ) -> DataFrame:
     """Cosine of every pair of distinct term profiles that share a term.
 
     Copies are one profile (see :func:`same_terms`), so a group of copies adds no pairs.
-    Returns ``(item_a, item_b, score)`` over profile ids; with ``best`` only the pairs that
-    may be among the ``best`` of one of their ends.
+    Returns ``(item_a, item_b, score)`` over profile ids; with ``least`` only the pairs that
+    reach that score, found without forming all others.
     """
-    profiles = members.where(F.col("id") == F.col("profile")).select("id")
-    distinct = docs.join(profiles, "id", "left_semi")
-    cells = materialize(_unit_cells(term_counts(distinct, stop_words)))
-    return tiled_product(cells, stats=("sxy",), best=best).select(
+    cells = profile_cells(docs, members, stop_words)
+    if least is not None:
+        return cosines_from(cells, least)
+    return tiled_product(cells, stats=("sxy",)).select(
         F.col("id_a").alias("item_a"), F.col("id_b").alias("item_b"), F.col("sxy").alias("score")
     )
 
@@ -160,11 +168,11 @@ def similar_documents_all(
     first id, can be among the ``n + 1`` best.
     """
     members = materialize(same_terms(docs, stop_words))
-    edges = cosine_pairs(docs, members, stop_words, n + 1)
+    edges = best_cosines(profile_cells(docs, members, stop_words), n + 1)
     selves = members.where(F.col("id") == F.col("profile")).select(
         F.col("id").alias("item_id"), F.col("id").alias("other_id"), F.lit(1.0).alias("score")
     )
-    near = best_per(both_ways(edges).unionByName(selves), "item_id", "other_id", n + 1)
+    near = best_per(edges.unionByName(selves), "item_id", "other_id", n + 1)
     firsts = best_per(
         members.select("profile", "id", F.lit(1.0).alias("score")), "profile", "id", n + 1
     ).select(F.col("profile").alias("other_id"), F.col("id").alias("doc_id"))

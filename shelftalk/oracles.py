@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from shelftalk.plans import standins as S
-from shelftalk.queries import CAP, MAX_WORDS, POPULAR, SUPPORT, SWEEP, TITLE
+from shelftalk.queries import CAP, LEAST, MAX_WORDS, POPULAR, SUPPORT, SWEEP, TITLE
 
 
 def _values(words, column: str) -> str:
@@ -136,14 +136,15 @@ signed AS (SELECT id, string_agg(term || ':' || tf, chr(10) ORDER BY term) AS s
 members AS (SELECT id, min(id) OVER (PARTITION BY s) AS profile FROM signed)"""
 
 
-def _cosine(docs: str) -> str:
+def _cosine(docs: str, least: float = 0.0) -> str:
     return _with(
         _members(docs),
-        """, d AS (SELECT t.* FROM terms t JOIN members m ON t.id = m.id AND m.id = m.profile)
+        f""", d AS (SELECT t.* FROM terms t JOIN members m ON t.id = m.id AND m.id = m.profile)
 SELECT p.item_a, p.item_b, round(p.dot / (x.norm * y.norm), 6) AS score
 FROM (SELECT a.id AS item_a, b.id AS item_b, sum(a.tf * b.tf) AS dot
       FROM d a JOIN d b ON a.term = b.term AND a.id < b.id GROUP BY 1, 2) p
-JOIN norms x ON x.id = p.item_a JOIN norms y ON y.id = p.item_b""",
+JOIN norms x ON x.id = p.item_a JOIN norms y ON y.id = p.item_b
+WHERE p.dot / (x.norm * y.norm) >= {least} - 1e-12""",
     )
 
 
@@ -257,7 +258,7 @@ def _drawn(pool: str) -> str:
     bits = "('0x' || substr(md5('7:' || draw), 1, 16))::UBIGINT"
     return f"""drawn AS (
   SELECT draw, CAST({bits} % (SELECT count(*) FROM {pool}) AS BIGINT) AS pair_id
-  FROM range({64 * 400}) t(draw))"""
+  FROM range({64 * 400}) t(draw) WHERE EXISTS (FROM {pool}))"""
 
 
 _DRAWN = f"{_ENCODED},\n{_drawn('numbered')}"
@@ -417,6 +418,8 @@ book_tags AS (
         "same_terms": _with(_members(_DOCUMENTS), "SELECT id, profile FROM members"),
         "cosine_pairs": _cosine(_TAGS),
         "document_cosine_pairs": _cosine(_DOCUMENTS),
+        "cosine_pairs_from": _cosine(_TAGS, LEAST),
+        "document_cosine_pairs_from": _cosine(_DOCUMENTS, LEAST),
         "similar_titles": _similar(
             _TAGS, f"SELECT min(id) AS id FROM docs WHERE title = '{TITLE}'", True
         ),

@@ -27,6 +27,46 @@ def clean_ratings(
     return R.keep_popular(active, at_least)
 
 
+@dataclass(frozen=True)
+class TitleRatings:
+    """Stored ratings by title: answers about one title or one user, without the edges of all."""
+
+    by_title: DataFrame
+    titles: DataFrame
+
+    @classmethod
+    def build(cls, cleaned: DataFrame, books: DataFrame) -> TitleRatings:
+        by_title = materialize(collab.ratings_by_title(cleaned, books))
+        return cls(by_title, collab.title_items(books).select("item_id", "title").distinct())
+
+    def similar(self, title: str, n: int = 10, min_support: int = 40) -> DataFrame:
+        """Titles closest to a title by correlation."""
+        near = collab.similar_to_item(self.by_title, _item_of(self.titles, title), n, min_support)
+        return _named(near, self.titles, "other_id").select("other_id", "title", "score")
+
+    def candidates(self, user_id: int, min_support: int = 40) -> DataFrame:
+        """Correlation times rating, for every neighbour of every title the user rated."""
+        edges = collab.edges_of_user(self.by_title, user_id, min_support)
+        return collab.candidate_scores(self.by_title, edges, user_id)
+
+    def recommend(self, user_id: int, n: int = 10, min_support: int = 40) -> DataFrame:
+        """Titles for one user."""
+        edges = collab.edges_of_user(self.by_title, user_id, min_support)
+        best = collab.recommend_user(self.by_title, edges, user_id, n)
+        return _named(best, self.titles, "item_id").select("item_id", "title", "score")
+
+
+def _item_of(titles: DataFrame, title: str) -> int:
+    row = titles.where(F.col("title") == title).first()
+    if row is None:
+        raise KeyError(title)
+    return row["item_id"]
+
+
+def _named(df: DataFrame, titles: DataFrame, item: str) -> DataFrame:
+    return df.join(titles.withColumnRenamed("item_id", item), item)
+
+
 @dataclass(frozen=True)
 class ItemModel:
     """Stored ratings by title, item edges and titles of one cleaned rating table."""
@@ -43,13 +83,10 @@ class ItemModel:
         return cls(by_title, edges, titles)
 
     def item_of(self, title: str) -> int:
-        row = self.titles.where(F.col("title") == title).first()
-        if row is None:
-            raise KeyError(title)
-        return row["item_id"]
+        return _item_of(self.titles, title)
 
     def _named(self, df: DataFrame, item: str) -> DataFrame:
-        return df.join(self.titles.withColumnRenamed("item_id", item), item)
+        return _named(df, self.titles, item)
 
     def similar(self, title: str, n: int = 10) -> DataFrame:
         """Titles closest to a title by correlation."""

@@ -23,6 +23,7 @@ SUPPORT = 20
 SWEEP = (200, 160, 25, 20)
 MAX_WORDS = 60
 TITLE = "red widget"
+LEAST = 0.3  # minimum cosine of a pair
 POPULAR = 460
 CAP = 20
 QUERIES: dict[str, Query] = {}
@@ -73,6 +74,10 @@ def _cleaned(spark, d):
     return recommend.clean_ratings(S.ratings(spark, d), S.books(spark, d), S.own(spark, d), S.USER)
 
 
+def _title_ratings(spark, d):
+    return recommend.TitleRatings.build(_cleaned(spark, d), S.books(spark, d))
+
+
 def _model(spark, d, support: int = SUPPORT):
     return recommend.ItemModel.build(_cleaned(spark, d), S.books(spark, d), support)
 
@@ -177,10 +182,9 @@ def support_sweep(spark, d):
 
 @query
 def similar_items(spark, d):
-    model = _model(spark, d)
-    first = model.titles.select(F.min("title")).scalar()
-    item = model.titles.where(F.col("title") == first).first()["item_id"]
-    return collab.similar_items(model.edges, item).select("other_id", _rounded("score"))
+    known = _title_ratings(spark, d)
+    first = known.titles.select(F.min("title")).scalar()
+    return known.similar(first, min_support=SUPPORT).select("other_id", _rounded("score"))
 
 
 @query
@@ -197,14 +201,14 @@ def user_ratings(spark, d):
 
 @query
 def candidate_scores(spark, d):
-    model = _model(spark, d)
-    found = collab.candidate_scores(model.by_title, model.edges, S.USER)
+    found = _title_ratings(spark, d).candidates(S.USER, SUPPORT)
     return found.select("item_id", "other_id", _rounded("score"))
 
 
 @query
 def user_recommendations(spark, d):
-    return _model(spark, d).recommend(S.USER).withColumn("score", F.round("score", 6))
+    best = _title_ratings(spark, d).recommend(S.USER, min_support=SUPPORT)
+    return best.withColumn("score", F.round("score", 6))
 
 
 @query
@@ -288,6 +292,25 @@ def document_cosine_pairs(spark, d):
     return _cosine(S.documents(spark, d))
 
 
+
+
+
+def _cosine_from(docs):
+    members = materialize(content.same_terms(docs, S.STOP_WORDS))
+    edges = content.cosine_pairs(docs, members, S.STOP_WORDS, least=LEAST)
+    return edges.select("item_a", "item_b", _rounded("score"))
+
+
+@query
+def cosine_pairs_from(spark, d):
+    return _cosine_from(_tag_texts(spark, d).select("id", "text"))
+
+
+@query
+def document_cosine_pairs_from(spark, d):
+    return _cosine_from(S.documents(spark, d))
+
+
 @query
 def similar_titles(spark, d):
     found = recommend.titles_like(_tag_texts(spark, d), TITLE, stop_words=S.STOP_WORDS)
