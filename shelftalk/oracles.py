@@ -30,7 +30,7 @@ merged AS (
   SELECT * FROM ratings
   UNION ALL
   SELECT {S.USER}, b.id, CAST(1 + s_nationkey % 5 AS INTEGER)
-  FROM supplier s JOIN books b ON b.title = s.s_name WHERE s_acctbal > 6000),
+  FROM supplier s JOIN books b ON b.title = 'Supplier#' || lpad(CAST(3 * s_suppkey AS VARCHAR), 9, '0')),
 collapsed AS (
   SELECT user_id, book_id, round_even(avg(rating), 0) AS rating FROM merged
   GROUP BY user_id, book_id)"""
@@ -513,8 +513,8 @@ FROM (SELECT *, substr(value, 2) AS w FROM found) WHERE regexp_matches(value, '/
 'to ' || value AS label FROM found""",
         ),
         "csv_round_trip": _with(_RATINGS, "SELECT book_id, user_id, rating FROM ratings"),
-        "csv_index_dropped": """SELECT s_name AS title, CAST(1 + s_nationkey % 5 AS INTEGER) AS rating
-FROM supplier WHERE s_acctbal > 6000""",
+        "csv_index_dropped": """SELECT 'Supplier#' || lpad(CAST(3 * s_suppkey AS VARCHAR), 9, '0') AS title,
+CAST(1 + s_nationkey % 5 AS INTEGER) AS rating FROM supplier""",
         "dialog_files": _with(
             _PAIRS,
             r"""SELECT c - 1 AS conv_id, pos,
