@@ -5,9 +5,9 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -18,9 +18,24 @@ from shelftalk.llm.bpe import byte_characters
 from shelftalk.llm.common import arrow_rows, text_runs, whole_texts, worker_kept
 from shelftalk.sources.scratch import materialize
 
-#: Words kept per Python worker with their ids; when full, it starts anew.
-CACHE_WORDS = 1_200_000
+#: Tokens and words kept per Python worker; when either is reached, it starts anew.
+CACHE_TOKENS, CACHE_WORDS = 4_000_000, 800_000
 _MARK = "\x00"
+#: Characters of texts that are encoded together.
+_TOGETHER = 8 << 20
+#: A word of Latin-1 letters, which may end in one mark.
+_LETTERS = "^[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+$"
+
+#: Sizes of the words of a list, and the ids of all of them one after the other.
+Coded = tuple[np.ndarray, np.ndarray]
+
+
+def _gathered(start: np.ndarray, size: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """``ids[start : start + size]`` of every word, one after the other."""
+    end = np.cumsum(size)
+    at = np.repeat(start - (end - size), size)
+    at += np.arange(len(at))
+    return ids[at]
 
 
 class WordEncoder:
@@ -30,28 +45,35 @@ class WordEncoder:
     blank-separated words, one after the other. Each distinct word is encoded once per
     worker, many joined in one call with a mark between them. Words of Latin-1 letters are
     one pre-token, for them the library's merges run without its normaliser and splitter.
+    A text that may hold one of the tokenizer's special strings, which can cross blanks, goes
+    through the library as a whole.
     """
 
     def __init__(self, tokenizer_json: str):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        bare = json.loads(tokenizer_json) | {
-            "normalizer": None, "pre_tokenizer": None, "added_tokens": []
-        }
+        made = json.loads(tokenizer_json)
+        self.special = sorted({t["content"].lower() for t in made["added_tokens"]})
+        bare = made | {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}
         self.bare = Tokenizer.from_str(json.dumps(bare))
         self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.to_chars = dict(enumerate(byte_characters()))
         self.to_chars[32] = " "
-        self.known: dict[str, bytes] = {}
-        self.mark = np.array(self._ids(_MARK), dtype="<u4")
-        self.tails = {c: np.array(self._ids(c), dtype="<u4").tobytes() for c in ",."}
+        self.mark = self._ids(_MARK)
+        self.tails = {c: self._ids(c) for c in ",."}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}  # word to its place in start and size
+        self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.pool = np.empty(0, "<u4")
 
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
-    def _joined(self, words: list[str], letters: bool, size: int = 128) -> Iterator[bytes]:
-        """Ids of each word; none holds the mark."""
+    def _joined(self, words: list[str], letters: bool, size: int = 128) -> Coded:
+        """Sizes and ids of words that don't hold the mark."""
         tokenizer = self.bare if letters else self.tokenizer
+        sizes, every = [np.empty(0, np.int64)], [np.empty(0, "<u4")]
         for at in range(0, len(words), 64 * size):
             some = words[at : at + 64 * size]
             lines = [some[i : i + size] for i in range(0, len(some), size)]
@@ -61,58 +83,83 @@ class WordEncoder:
             found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             for line, encoding in zip(lines, found, strict=True):
                 ids = np.array(encoding.ids, dtype="<u4")
-                cuts = np.flatnonzero(ids == self.mark[0]).tolist()
-                data = ids.tobytes()
+                marks = ids == self.mark[0]
+                cuts = np.flatnonzero(marks)
                 if len(self.mark) != 1 or len(cuts) != len(line) - 1:  # a word has that id itself
-                    yield from (np.array(self._ids(w), dtype="<u4").tobytes() for w in line)
-                    continue
-                begin = 0
-                for cut in cuts:
-                    yield data[4 * begin : 4 * cut]
-                    begin = cut + 1
-                yield data[4 * begin :]
-
-    def _learn(self, words: list[str]) -> None:
+                    own = [self._ids(w) for w in line]
+                    sizes.append(np.array([len(x) for x in own], dtype=np.int64))
+                    every += own
+                else:
+                    sizes.append(np.diff(cuts, prepend=-1, append=len(ids)) - 1)
+                    every.append(ids[~marks])
+        return np.concatenate(sizes), np.concatenate(every)
+
+    def _keep(self, words: list[str], coded: Coded) -> None:
+        sizes, ids = coded
+        self.known.update(zip(words, range(len(self.size), len(self.size) + len(words)), strict=True))
+        self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(sizes) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.pool = np.concatenate([self.pool, ids])
+
+    def _learn(self, words: pa.Array) -> None:
         """Words of letters differ by case and a final mark only: their core is encoded once."""
-        known, tails = self.known, self.tails
-        named, cores, others, odd = [], [], [], []
-        for w in words:
-            core = w[:-1] if w[-1:] in tails else w
-            if core.isalpha() and (core.isascii() or max(core) < "\u0100"):
-                named.append(w)
-                cores.append(core.lower())
-            elif _MARK in w:
-                odd.append(w)
-            else:
-                others.append(w)
-        plain = list(set(cores))
-        ids_of = dict(zip(plain, self._joined(plain, True), strict=True))
-        for w, core in zip(named, cores, strict=True):
-            ids = ids_of[core]
-            known[w] = ids if len(w) == len(core) else ids + tails[w[-1]]
-        known.update(zip(others, self._joined(others, False), strict=True))
-        for w in odd:
-            known[w] = np.array(self._ids(w), dtype="<u4").tobytes()
+        last = pc.utf8_slice_codeunits(words, -1)
+        tail = sum(((i + 1) * pc.equal(last, c).to_numpy(zero_copy_only=False)) for i, c in enumerate(self.tails))
+        tail[pc.utf8_length(words).to_numpy() < 2] = 0
+        core = pc.if_else(pa.array(tail > 0), pc.utf8_slice_codeunits(words, 0, -1), words)
+        plain = pc.match_substring_regex(core, _LETTERS)
+        if any(len(ids) != 1 for ids in self.tails.values()):
+            plain = pc.and_(plain, pa.array(tail == 0))
+        letters = plain.to_numpy(zero_copy_only=False)
+
+        cores = pc.utf8_lower(core.filter(plain)).dictionary_encode()
+        sizes, ids = self._joined(cores.dictionary.to_pylist(), True)
+        of = cores.indices.to_numpy()
+        ends = tail[letters]
+        size = sizes[of] + (ends > 0)
+        out = np.empty(size.sum(), dtype="<u4")
+        stop = np.cumsum(size)
+        marked = np.zeros(len(out), dtype=bool)
+        marked[stop[ends > 0] - 1] = True
+        out[~marked] = _gathered((np.cumsum(sizes) - sizes)[of], sizes[of], ids)
+        marks = np.array([0, *[x[0] for x in self.tails.values()]], dtype="<u4")
+        out[marked] = marks[ends[ends > 0]]
+        self._keep(words.filter(plain).to_pylist(), (size, out))
+
+        others = words.filter(pc.invert(plain)).to_pylist()
+        odd = [w for w in others if _MARK in w]
+        others = [w for w in others if _MARK not in w] if odd else others
+        self._keep(others, self._joined(others, False))
+        own = [self._ids(w) for w in odd]
+        self._keep(odd, (np.array([len(x) for x in own], dtype=np.int64), np.concatenate([np.empty(0, "<u4"), *own])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         # the tokenizer lower-cases; for ASCII that is lower() of the whole text
         plain = [(t.lower() if t.isascii() else t).replace("\n", " ") for t in texts]
+        whole = {
+            i: self._ids(texts[i]).tobytes()
+            for i, t in enumerate(plain)
+            if any(x in t or (not t.isascii() and x in t.lower()) for x in self.special)
+        }
+        for i in whole:
+            plain[i] = ""
         lists = pc.split_pattern(pa.array(plain, pa.string()), " ")
         coded = lists.flatten().dictionary_encode()
-        words, place = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        known = self.known
-        self._learn([w for w in words if w not in known])
-        data = [known[w] for w in words]
-        size = np.fromiter(map(len, data), dtype=np.int64, count=len(data)) // 4
-        every = np.frombuffer(b"".join(data), dtype="<u4")
-        own = size[place]  # ids of each word of the texts, in order
-        end = np.cumsum(own)
-        at = np.repeat((np.cumsum(size) - size)[place] - (end - own), own)
-        ids = every[at + np.arange(len(at))]
-        cuts = np.concatenate([[0], end])[lists.offsets.to_numpy()].tolist()
-        return [ids[a:z].tobytes() for a, z in zip(cuts, cuts[1:])]
+        words, place = coded.dictionary, coded.indices.to_numpy()
+        if len(self.pool) > CACHE_TOKENS or len(self.known) > CACHE_WORDS:
+            self._forget()
+        listed = words.to_pylist()
+        of = np.fromiter(map(self.known.get, listed, repeat(-1)), dtype=np.int64, count=len(listed))
+        fresh = of < 0
+        if fresh.any():
+            self._learn(words.filter(pa.array(fresh)))
+            new = [listed[i] for i in np.flatnonzero(fresh)]
+            of[fresh] = np.fromiter(map(self.known.__getitem__, new), dtype=np.int64, count=len(new))
+        at = of[place]  # of each word of the texts, in order
+        own = self.size[at]
+        ids = _gathered(self.start[at], own, self.pool)
+        cuts = np.concatenate([[0], np.cumsum(own)])[lists.offsets.to_numpy()].tolist()
+        return [whole.get(i) or ids[a:z].tobytes() for i, (a, z) in enumerate(zip(cuts, cuts[1:]))]
 
 
 _PIECES = pa.schema(
@@ -138,7 +185,7 @@ def token_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_kept(("words", tokenizer_json), lambda: WordEncoder(tokenizer_json))
         end = np.array([end_id], dtype="<u4").tobytes()
-        for ids, texts in text_runs(batches):
+        for ids, texts in text_runs(batches, _TOGETHER):
             rows = []
             for doc_id, data in zip(ids, encoder.encode(texts), strict=True):
                 data += end
@@ -298,61 +345,66 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, size: int) -> list[
     return done + [[i for same in b.values() for i in same] for b in rest.items if b]
 
 
-def pack_pieces(
-    pieces: DataFrame, size: int = 2048, group: int = 2048, rounds: int = 2
-) -> DataFrame:
+def pack_pieces(pieces: DataFrame, size: int = 2048, group: int = 8192) -> DataFrame:
     """``sequence_id`` and ``offset`` for each row of ``pieces`` (a stored table).
 
-    Pieces are hashed into groups of about ``group`` sequences; each group is packed by best
-    fit and improved by local search in one task. A group keeps its full bins; what lies in its
-    underfull bins is packed again together with that of the other groups, ``rounds`` times in
-    all, so that leftovers meet although no task sees all pieces.
+    Rows are dealt into groups of about ``group`` sequences, repeated rows like any others; each
+    group is packed by best fit and improved by local search in one task. A group keeps its
+    full bins; what lies in its underfull bins is packed again together with that of the other
+    groups, so that leftovers meet although no task sees all pieces, until what is left is one
+    group or no longer halves (pieces that leave room nothing fits into).
     """
     columns = list(pieces.columns)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    key = [c for c in ("doc_id", "piece", "ids_crc32", "start") if c in columns]
-    out, rest = None, pieces
-    def packer(turn: int, last: bool):
-        def pack(own: pd.DataFrame) -> pd.DataFrame:
-            own = own.sort_values(key, kind="stable").reset_index(drop=True)
-            lengths = own["length"].to_numpy()
+    order = [(c, "ascending") for c in ("doc_id", "piece", "ids_crc32", "start") if c in columns]
+
+    def packer(first: int, last: bool):
+        def pack(own: pa.Table) -> pa.Table:
+            own = own.sort_by([*order, ("length", "ascending")])
+            lengths = own.column("length").to_numpy()
             bins = local_search(best_fit(lengths, size), lengths, size)
-            number = np.empty(len(own), dtype=np.int64)
-            offset = np.empty(len(own), dtype=np.int64)
-            closed = np.empty(len(own), dtype=bool)
-            first = (int(own["_group"].iloc[0]) * rounds + turn) << 24
+            number = np.empty(own.num_rows, dtype=np.int64)
+            offset = np.empty(own.num_rows, dtype=np.int64)
+            closed = np.empty(own.num_rows, dtype=bool)
+            base = (first + own.column("_group")[0].as_py()) << 24
             for b, items in enumerate(bins):
                 n = lengths[items]
-                number[items] = first + b
+                number[items] = base + b
                 offset[items] = np.cumsum(n) - n
                 closed[items] = last or n.sum() == size
-            return own[columns].assign(sequence_id=number, offset=offset, _closed=closed)
+            made = {"sequence_id": number, "offset": offset, "_closed": closed}
+            return pa.Table.from_arrays(
+                [*[own.column(c) for c in columns], *map(pa.array, made.values())], names=[*columns, *made]
+            )
 
         return pack
 
-    for turn in range(rounds):
+    out, rest, first, before = None, pieces, 0, None
+    while True:
         tokens = rest.agg(F.sum("length")).first()[0] or 0
         groups = max(1, -(-tokens // (size * group)))
-        last = turn == rounds - 1 or groups == 1
-
+        last = groups == 1 or (before is not None and 2 * tokens > before)
+        # a place of its own, not a key, so that rows that repeat are dealt out, too
+        dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))
         packed = materialize(
-            rest.withColumn("_group", F.pmod(F.xxhash64(F.lit(turn), *key), F.lit(groups)))
+            rest.withColumn("_group", dealt)
             .groupBy("_group")
-            .applyInPandas(packer(turn, last), f"{kinds}, sequence_id long, offset long, _closed boolean")
+            .applyInArrow(packer(first, last), f"{kinds}, sequence_id long, offset long, _closed boolean")
         )
         finished = packed.where("_closed").drop("_closed")
         out = finished if out is None else out.unionByName(finished)
         if last:
-            break
-        rest = packed.where("not _closed").select(*columns)
-    return out
+            return out
+        rest, first, before = packed.where("not _closed").select(*columns), first + groups, tokens
 
 
 def pack_documents(df: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 0) -> DataFrame:
     """Packed pieces of all documents.
 
-    Null and empty texts are the end id alone. Null ids stay null, repeated rows are packed
-    each for itself, an empty table gives an empty result. Columns: doc_id, piece, start,
+    Null and empty texts are the end id alone. Null ids stay null, other ids are kept as they
+    are, whatever their size. Repeated rows are packed each for itself. Pieces of equal length
+    go by id, piece and check sum. A text of any length is cut into pieces. Special strings of
+    the tokenizer are encoded as the library does. An empty table gives an empty result. Columns: doc_id, piece, start,
     length, ids_crc32, sequence_id, offset.
     """
     return pack_pieces(materialize(token_pieces(df, tokenizer_path, size, end_id)), size)
