@@ -12,6 +12,7 @@ from shelftalk.sources.scratch import materialize
 
 SHINGLE = 5
 FRACTION = 0.25
+SMALL = 64  # shingles of a text that is kept whole
 
 
 def shingle_hashes(words: Column, size: int = SHINGLE) -> Column:
@@ -30,31 +31,45 @@ def shingle_hashes(words: Column, size: int = SHINGLE) -> Column:
 
 
 def sketch(hashes: Column, fraction: float = FRACTION) -> Column:
-    """The distinct hashes below the fraction, sorted; of a text with any, at least the smallest.
+    """``low``, the distinct hashes below the fraction, sorted, and ``all``, every distinct hash,
+    of a text with no more than ``SMALL`` of them (else null).
 
-    Sketches of parts merge into the sketch of their union by ``array_union``, whatever the
-    sizes of the parts.
+    ``low`` has nothing but hashes below the fraction, so those of parts merge into that of
+    their union by ``array_union``, whatever the sizes of the parts. A short text may have none;
+    ``all`` compares such texts exactly, and merges as long as the union stays short.
     """
     limit = int(-(1 << 63) + fraction * (1 << 64))
-    low = F.sort_array(F.array_distinct(F.filter(hashes, lambda h: h < F.lit(limit).cast("long"))))
-    least = F.filter(F.array(F.array_min(hashes)), lambda h: h.isNotNull())
-    return F.when(F.size(low) > 0, low).otherwise(least)
+    low = F.filter(hashes, lambda h: h < F.lit(limit).cast("long"))
+    few = F.when(F.size(hashes) <= SMALL, F.sort_array(F.array_distinct(hashes)))
+    return F.struct(F.sort_array(F.array_distinct(low)).alias("low"), few.alias("all"))
+
+
+def _sets(a: Column, b: Column) -> tuple[Column, Column]:
+    """Whole sets where both texts are short, else the hashes below the fraction."""
+    short = a["all"].isNotNull() & b["all"].isNotNull()
+    return tuple(F.when(short, x["all"]).otherwise(x["low"]) for x in (a, b))
 
 
 def containment(part: Column, whole: Column) -> Column:
-    """Estimated share of ``part``'s shingles that ``whole`` has; without shingles 1."""
-    common = F.size(F.array_intersect(part, whole))
-    return F.when(F.size(part) > 0, common / F.size(part)).otherwise(F.lit(1.0))
+    """Share of ``part``'s shingles that ``whole`` has: exact between short texts, else estimated
+    from the hashes below the fraction, null if ``part`` has none there. Without shingles 1."""
+    of, to = _sets(part, whole)
+    common = F.size(F.array_intersect(of, to))
+    share = F.when(F.size(of) > 0, common / F.size(of))
+    return F.when(F.size(part["all"]) == 0, F.lit(1.0)).otherwise(share)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated share of common shingles; of two texts without any 1."""
-    either = F.size(F.array_union(a, b))
-    return F.when(either > 0, F.size(F.array_intersect(a, b)) / either).otherwise(F.lit(1.0))
+    """Share of common shingles, exact between short texts, else estimated; of two texts without
+    any 1. Texts that are not both short and have no hash below the fraction are not alike."""
+    x, y = _sets(a, b)
+    either = F.size(F.array_union(x, y))
+    bare = F.when((F.size(a["all"]) == 0) & (F.size(b["all"]) == 0), F.lit(1.0)).otherwise(F.lit(0.0))
+    return F.when(either > 0, F.size(F.array_intersect(x, y)) / either).otherwise(bare)
 
 
 def fingerprints(df: DataFrame, fraction: float = FRACTION, size: int = SHINGLE) -> DataFrame:
-    """``doc_id``, ``text`` and ``sketch`` (array of long) of every row; a null text is empty."""
+    """``doc_id``, ``text`` and ``sketch`` (see :func:`sketch`) of every row; a null text is empty."""
     return _with_sketch(whole_texts(df), fraction, size)
 
 
@@ -100,7 +115,8 @@ def edited_fingerprints(
 
     Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint (number of kept
     hashes and their digest), near_edited, near_next (likeness), in_edited, in_next
-    (containment).
+    (containment; null where a sketch can't tell), sketch (the text's hashes below the
+    fraction, to be merged and compared further).
     """
     # an id as two columns without nulls, so that all joins and groups share one partitioning
     two = lambda c: [F.col(c).isNull().alias("_no"), F.coalesce(F.col(c), F.lit(0)).alias("_id")]
@@ -137,9 +153,13 @@ def edited_fingerprints(
     words = edited.select("*", words_of(F.lower("_edited")).alias("_words"))
     hashed = words.select("*", shingle_hashes(F.col("_words"), size).alias("_h"))
     both = hashed.select("*", sketch(F.col("_h"), fraction).alias("_sketch"))
-    name = lambda s: F.concat_ws(
-        ":", F.size(s).cast("string"), F.sha2(F.array_join(s.cast("array<string>"), ","), 256)
-    )
+
+    def name(s: Column) -> Column:
+        kept = F.coalesce(s["all"], s["low"])
+        return F.concat_ws(
+            ":", F.size(kept).cast("string"), F.sha2(F.array_join(kept.cast("array<string>"), ","), 256)
+        )
+
     return both.select(
         "doc_id",
         "n_chars",
@@ -150,4 +170,5 @@ def edited_fingerprints(
         likeness(F.col("sketch"), F.col("_next")).alias("near_next"),
         containment(F.col("sketch"), F.col("_sketch")).alias("in_edited"),
         containment(F.col("sketch"), F.col("_next")).alias("in_next"),
+        F.col("sketch.low").alias("sketch"),
     )

@@ -6,10 +6,12 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 import public_tokenizers as P
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -85,6 +87,56 @@ def test_fingerprints(docs):
             assert by_text.setdefault(texts[r.doc_id], r.fingerprint) == r.fingerprint
 
 
+def word_sets(text):
+    words = text.split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def test_containment_and_merging(spark):
+    """Parts of 7 to 1,000 words in texts of 1,000 and more, against exact sets."""
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    pairs = []
+    for k in range(300):
+        whole = [word() for _ in range(rng.choice([1000, 3000]))]
+        n = rng.choice([7, 12, 40, 200, 1000])
+        at = rng.randrange(len(whole) - n + 1)
+        part = whole[at : at + n]
+        if k % 3 == 0:
+            part = part[: n // 2] + [word() for _ in range(n - n // 2)]
+        pairs.append((k, " ".join(part), " ".join(whole)))
+    df = spark.createDataFrame(pairs, "doc_id long, part string, whole string")
+    of = lambda c: fingerprints.fingerprints(df.selectExpr("doc_id", f"{c} AS text")).select("doc_id", F.col("sketch").alias(c))
+    joined = df.selectExpr("doc_id", "concat(part, ' | ', whole) AS text")
+    met = of("part").join(of("whole"), "doc_id").join(fingerprints.fingerprints(joined).select("doc_id", "sketch"), "doc_id")
+    found = met.select(
+        "*", fingerprints.containment(F.col("part"), F.col("whole")).alias("share"),
+        fingerprints.likeness(F.col("part"), F.col("whole")).alias("alike"),
+    ).collect()
+    errors, alike, told = [], [], 0
+    for r in found:
+        a, b = (word_sets(t) for t in pairs[r.doc_id][1:])
+        assert (r.share is None) == (not r.part.low)
+        if r.share is not None:
+            errors.append(abs(r.share - len(a & b) / len(a)))
+            if a <= b:
+                told += 1
+                assert r.share == 1.0
+        alike.append(abs(r.alike - len(a & b) / len(a | b)))
+        assert set(r.part.low) | set(r.whole.low) <= set(r.sketch.low)  # plus shingles across the seam
+        assert len(r.sketch.low) - len(set(r.part.low) | set(r.whole.low)) <= 5
+    assert told > 100 and sum(errors) / len(errors) < 0.05 and sum(alike) / len(alike) < 0.05
+
+
+def test_short_texts_are_compared_exactly(spark):
+    base = [f"w{i}" for i in range(30)]
+    rows = [(0, " ".join(base), " ".join(base[:20])), (1, "a b", "a b"), (2, "", ""), (3, "a b", ""), (4, "", "a b")]
+    df = spark.createDataFrame(rows, "doc_id long, a string, b string")
+    of = lambda c: fingerprints.fingerprints(df.selectExpr("doc_id", f"{c} AS text")).select("doc_id", F.col("sketch").alias(c))
+    met = of("a").join(of("b"), "doc_id").orderBy("doc_id")
+    got = met.select(fingerprints.likeness(F.col("a"), F.col("b")), fingerprints.containment(F.col("b"), F.col("a"))).collect()
+    assert [tuple(r) for r in got] == [(16 / 26, 1.0), (1.0, 1.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)]
+
+
 def test_licenses(docs):
     got = Counter(tuple(r) for r in OPERATORS["licenses"](docs).collect())
     want = Counter()
@@ -167,6 +219,34 @@ def test_packing(docs):
     assert len(sequences) <= -(-total // 2048) + 1
 
 
+def test_packing_keeps_ids_and_special_strings(spark):
+    """Ids beyond 2^53 beside nulls, and the tokenizer's own strings as the library takes them."""
+    big = [2**53 + 1, 2**53 + 3, -(2**53) - 1, 2**63 - 1, -(2**63)]
+    texts = ["hello <|endoftext|> x", "<|endoftext|>", "in<|startoftext|>side, word", "A <|ENDOFTEXT|>", "<|endo ftext|>, a."]
+    rows = [*zip(big, texts), (None, "b c"), (None, None), (5, "x <|endoftext|>,"), (5, "x <|endoftext|>,")]
+    tokenizer = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    want = Counter()
+    for i, t in rows:
+        ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0]
+        want[(i, len(ids), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids)))] += 1
+    got = OPERATORS["packing"](spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.length, r.ids_crc32) for r in got) == want
+
+
+def test_groups_of_repeated_rows(spark):
+    """A row that is a third of all is dealt out over the groups; leftovers meet."""
+    rows = [(7, 0, 0, 700)] * 3000 + [(i, 0, 0, 1 + i * 37 % 2048) for i in range(6000)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long").repartition(6)
+    got = packing.pack_pieces(packing.materialize(pieces), 2048, group=256).collect()
+    assert Counter((r.doc_id, r.length) for r in got) == Counter((r[0], r[3]) for r in rows)
+    fill = Counter()
+    for r in got:
+        fill[r.sequence_id] += r.length
+    alone = packing.best_fit(np.array([r[3] for r in rows]), 2048)  # all in one group
+    assert max(fill.values()) <= 2048 and len(fill) <= 1.01 * len(alone)
+    assert len({r.sequence_id >> 24 for r in got if r.doc_id == 7}) > 5
+
+
 def test_local_search_empties_bins():
     import numpy as np
 
