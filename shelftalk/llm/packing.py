@@ -19,10 +19,10 @@ from shelftalk.llm.common import arrow_rows, text_runs, whole_texts, worker_kept
 from shelftalk.sources.scratch import materialize
 
 #: Tokens and words kept per Python worker; when either is reached, it starts anew.
-CACHE_TOKENS, CACHE_WORDS = 4_000_000, 800_000
+CACHE_TOKENS, CACHE_WORDS = 2_000_000, 400_000
 _MARK = "\x00"
 #: Characters of texts that are encoded together.
-_TOGETHER = 8 << 20
+_TOGETHER = 6 << 20
 #: A word of Latin-1 letters, which may end in one mark.
 _LETTERS = "^[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+$"
 
