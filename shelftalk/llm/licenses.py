@@ -31,22 +31,48 @@ NOTICE_PHRASES = {
     "cc by nd": "cc-by-nd",
     "public domain": "public-domain",
     "creative commons": "creative-commons",
+    "cc by nc sa": "cc-by-nc-sa",
+    "cc by nc nd": "cc-by-nc-nd",
+    "cc0": "cc0",
+    "isc license": "isc",
+    "zlib license": "zlib",
+    "boost software license": "bsl-1.0",
+    "artistic license": "artistic",
+    "free documentation license": "gfdl",
+    "open font license": "ofl",
+    "open software license": "osl",
+    "academic free license": "afl",
+    "open database license": "odbl",
+    "european union public licence": "eupl",
+    "common development and distribution license": "cddl",
+    "common public license": "cpl",
+    "microsoft public license": "ms-pl",
+    "python software foundation license": "psf",
+    "universal permissive license": "upl",
+    "server side public license": "sspl",
+    "business source license": "busl",
+    "this is free and unencumbered software": "unlicense",
+    "permission is hereby granted free of charge": "mit",
+    "redistribution and use in source and binary forms": "bsd",
+    "permission to use copy modify and or distribute this software": "isc",
 }
-#: Tags after which the rest of the line is a licence expression.
+#: Tags after which a licence expression follows on the same line.
 TAGS = ("spdx-license-identifier:", "license-expression:", "license-identifier:")
 #: How much a licence restricts use, 0 to 1; the longest prefix of an identifier counts.
 RESTRICTION = {
     "public-domain": 0.05, "cc0": 0.05, "unlicense": 0.05,
     "mit": 0.1, "isc": 0.1, "bsd": 0.1, "apache": 0.15, "zlib": 0.1,
     "cc-by": 0.2, "creative-commons": 0.2,
-    "mpl": 0.4, "epl": 0.4, "cc-by-sa": 0.4, "lgpl": 0.5,
-    "gpl": 0.7, "agpl": 0.8, "cc-by-nd": 0.8, "cc-by-nc": 0.8,
+    "bsl-1.0": 0.1, "upl": 0.1, "psf": 0.15, "artistic": 0.2, "afl": 0.15, "ofl": 0.2,
+    "mpl": 0.4, "epl": 0.4, "cc-by-sa": 0.4, "cddl": 0.4, "cpl": 0.4, "ms-pl": 0.3, "odbl": 0.4,
+    "lgpl": 0.5, "eupl": 0.5, "osl": 0.6, "gfdl": 0.6,
+    "gpl": 0.7, "agpl": 0.8, "cc-by-nd": 0.8, "cc-by-nc": 0.8, "sspl": 0.9, "busl": 0.9,
     "proprietary": 1.0, "licenseref-proprietary": 1.0, "reserved": 1.0,
 }
 UNKNOWN, EXCEPTION_KEEPS = 0.5, 0.5
 INVALID = "invalid-expression"
 _BREAK = re.compile("[\x00-\x2f\x3a-\x60\x7b-\x7f]+")
-_TOKEN = re.compile(r"\s*([()]|[a-z0-9][a-z0-9.+:-]*)")
+_TOKEN = re.compile(r"\s*([()]|[a-z0-9](?:[a-z0-9.+:-]*[a-z0-9+])?)")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
 
@@ -93,6 +119,26 @@ def to_postfix(expression: str) -> list[str]:
     return out + stack[::-1]
 
 
+def leading_expression(line: str) -> str:
+    """The longest start of ``line`` that is a whole expression; empty if there is none.
+
+    It ends before a character that no token holds (``*/``, ``-->``, a quote, a comma) or a token
+    that can't follow, and takes a dangling operator or an open parenthesis with it.
+    """
+    at = whole = depth = 0
+    operand = True  # whether one is due
+    while m := _TOKEN.match(line, at):
+        token = m[1]
+        if (token in _BINDS or token == ")") == operand or (token == ")" and not depth):
+            break
+        at = m.end()
+        depth += (token == "(") - (token == ")")
+        operand = token == "(" or token in _BINDS
+        if not operand and not depth:
+            whole = at
+    return line[:whole]
+
+
 def evaluate(postfix: Iterable[str]) -> tuple[frozenset[str], float]:
     """Licences named, and the restriction: or takes the freer side, and the stricter one,
     with (an exception) keeps a part of its left side."""
@@ -146,12 +192,12 @@ class Scanner:
             first = word if first is None else min(first, word)
             last = word if last is None else max(last, word)
         score = max((restriction(x) for x in labels), default=0.0)
-        for end, _ in self.tags.iter(text):
+        for end in dict.fromkeys(end for end, _ in self.tags.iter(text)):  # a tag may end another
             stop = text.find("\n", end)
-            expression = text[end + 1 : stop if stop >= 0 else len(text)]
-            try:
+            expression = leading_expression(text[end + 1 : stop if stop >= 0 else len(text)])
+            if expression:
                 names, strict = evaluate(to_postfix(expression))
-            except ValueError:
+            else:
                 names, strict = frozenset([INVALID]), UNKNOWN
             labels |= names
             score = max(score, strict)
@@ -177,8 +223,9 @@ def scan_licenses(
 
     Words are runs of ASCII letters and digits and of all characters beyond ASCII, with A-Z
     lower-cased. A place is the index of a base phrase's first word. ``labels`` adds further
-    notice phrases and the licences of expressions after a tag (up to the line's end; a
-    malformed one gives ``invalid-expression``). ``score`` is the restriction of the strictest
+    notice phrases and the licences of expressions after a tag (the longest whole expression
+    that the rest of the line begins with, so comment ends do no harm; without one,
+    ``invalid-expression``). ``score`` is the restriction of the strictest
     finding, 0 without any. A null text is empty: no words, null places, empty labels, score 0.
     A null id stays null, repeated rows give repeated results, an empty table an empty result.
     """
