@@ -88,7 +88,7 @@ def vector_shards(
 
     * Rows with equal texts form a group with one vector (bytes, tokens, rows); groups are
       counted with map-side sums. A group above ``1 / (shards * slack)`` of any total is dealt
-      by ``doc_id`` into parts below it. There are at most ``3 * shards * slack`` such groups,
+      by a stored row number into parts below it, so repeated rows are dealt out, too. There are at most ``3 * shards * slack`` such groups,
       so that table alone is broadcast.
     * Loads (groups and parts) are placed level by level, the heaviest first: on one block,
       then on ``block / 128``-fold more blocks each time, up to blocks of about ``block``
@@ -102,7 +102,8 @@ def vector_shards(
       runs before.
 
     Null texts are empty (size 1), null ids stay null. Repeated rows are rows of one group.
-    An empty table gives an empty result. Columns: doc_id, size, text_crc32, shard, slot.
+    Loads of equal weight are placed in the order of their keys. A part or a slot may differ when
+    the table is stored in another order; the totals hold all the same. An empty table gives an empty result. Columns: doc_id, size, text_crc32, shard, slot.
     """
     rows = materialize(
         whole_texts(df).select(
@@ -111,6 +112,7 @@ def vector_shards(
             F.size(F.split("text", SPACE)).cast("long").alias("tokens"),
             F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
             F.xxhash64("text").alias("copy"),
+            F.monotonically_increasing_id().alias("row"),  # stored, so every reader sees the same
         )
     )
     group = ["copy", "text_crc32", "size"]
@@ -141,7 +143,7 @@ def vector_shards(
     dealt = rows.join(F.broadcast(hot), group, "left").withColumn(
         "part",
         F.coalesce(
-            F.pmod(F.xxhash64("doc_id", "copy"), F.col("parts")), F.lit(0)
+            F.pmod(F.xxhash64("row"), F.col("parts")), F.lit(0)
         ).cast("int"),
     )
     loads = dealt.groupBy(*group, "part").agg(
@@ -193,8 +195,8 @@ def vector_shards(
         placed = here if placed is None else placed.unionByName(here)
     runs = max(1, -(-(total["n"] or 0) // (run * shards)))
     out = dealt.join(placed, [*group, "part"]).select(
-        "doc_id", "size", "text_crc32", "shard", "copy",
-        F.pmod(F.xxhash64("doc_id", "copy"), F.lit(runs)).cast("int").alias("run"),
+        "doc_id", "size", "text_crc32", "shard", "copy", "row",
+        F.pmod(F.xxhash64("row", "copy"), F.lit(runs)).cast("int").alias("run"),
     )
     out = materialize(out)
     before = (
@@ -208,7 +210,7 @@ def vector_shards(
         )
         .select("shard", "run", F.coalesce("before", F.lit(0)).alias("before"))
     )
-    numbered = Window.partitionBy("shard", "run").orderBy("doc_id", "copy", "size")
+    numbered = Window.partitionBy("shard", "run").orderBy("doc_id", "copy", "size", "row")
     return out.withColumn("at", F.row_number().over(numbered)).join(before, ["shard", "run"]).select(
         "doc_id", "size", "text_crc32", "shard", (F.col("before") + F.col("at") - 1).alias("slot")
     )
