@@ -38,6 +38,7 @@ from shelftalk.sources.scratch import materialize
 NO_ID = (1 << 63) - 1  # stands for a null id: larger than any other
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+_OTHER = np.uint64(0xA0761D6478BD642F)  # turns the units' numbers into a second set
 _48 = np.uint64((1 << 48) - 1)
 RUN = 1 << 20  # units handled at once
 FLUSH = 1 << 19  # occurrences gathered before they are sent
@@ -123,8 +124,15 @@ def occurrences(hashes: np.ndarray, starts: np.ndarray, size: int, anchor: int):
     head = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
     first, place = at[head], own[head]
     count = np.diff(np.concatenate([head, [len(at)]]))
-    def span(begin: np.ndarray, length) -> np.ndarray:
-        return _mix((sums[begin + length] - sums[begin]) * down[begin])
+    others: list[np.ndarray] = []  # sums of other numbers for the units, made on demand
+
+    def span(begin: np.ndarray, length, second: bool = False) -> np.ndarray:
+        """Hash of ``length`` units; the second one shares no unit number with the first."""
+        if second and not others:
+            others.append(np.zeros(n + 1, dtype=np.uint64))
+            np.cumsum(_mix(_mix(hashes ^ _OTHER)) * up[:n], out=others[0][1:])
+        of = others[0] if second else sums
+        return _mix((of[begin + length] - of[begin]) * down[begin])
 
     stretch = _mix(
         span(first, count + size - 1) + (place - first).astype(np.uint64) * np.uint64(1 << 16) + count.astype(np.uint64)
@@ -297,7 +305,7 @@ def _send(units: Units, parts: int, frequent: np.ndarray) -> Callable:
                     own = span(at, units.size)
                     rest = ~often
                     key = np.concatenate([key[rest], own & _48])
-                    stretch = np.concatenate([stretch[rest], _mix(own + np.uint64(1)) & _48])
+                    stretch = np.concatenate([stretch[rest], span(at, units.size, second=True) & _48])
                     first = np.concatenate([first[rest], at])
                     count = np.concatenate([count[rest], np.ones(len(at), dtype=count.dtype)])
                     doc = np.concatenate([doc[rest], doc[each]])
