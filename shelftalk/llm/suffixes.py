@@ -218,10 +218,13 @@ def without_repeats(df: DataFrame) -> DataFrame:
     rows = df.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "text"], F.col("text").isNull().alias("_null")).alias("row"),
+        F.struct(
+            F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "text"]).alias("own"),
+            F.col("text").isNull().alias("no_text"),
+        ).alias("row"),
     )
     done = _covered(rows).select("row", cut("text", "data").alias("text"))
-    text: Column = F.when(~F.col("row._null"), F.col("text"))
+    text: Column = F.when(~F.col("row.no_text"), F.col("text"))
     out = []
     for f in df.schema:
         if f.name == "text":
@@ -229,5 +232,5 @@ def without_repeats(df: DataFrame) -> DataFrame:
         elif f.name == "n_chars":
             out.append(F.length(text).cast(f.dataType).alias("n_chars"))
         else:
-            out.append(F.col("row").getField(f.name).alias(f.name))
+            out.append(F.col("row.own").getField(f.name).alias(f.name))
     return done.select(*out)
