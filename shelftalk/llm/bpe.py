@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import base64
-import hashlib
 import heapq
 import itertools
 import re
+import sys
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
@@ -15,12 +15,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-from shelftalk.llm.common import arrow_rows, text_runs, whole_texts, worker_kept
+from shelftalk.llm.common import text_runs, whole_texts, worker_kept
 
-#: Chunks kept per Python worker with their ids; when full, it starts anew.
-CACHE_CHUNKS = 500_000
+#: Bytes of chunks and their ids kept per Python worker; beyond, it starts anew.
+CACHE_BYTES = 96 << 20
 
 
 def byte_characters() -> list[str]:
@@ -79,6 +80,11 @@ class ByteBpe:
         self.overlaps.make_automaton()
         self.sizes = np.array([len(t) for t in self.table])
         self.known: dict[str, bytes] = {}
+        self.held = 0  # bytes of ``known``
+
+    def _keep(self, chunk: str, ids: bytes) -> None:
+        self.known[chunk] = ids
+        self.held += sys.getsizeof(chunk) + sys.getsizeof(ids) + 100  # its place in the table
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one match: the lowest rank first, of equal ranks the leftmost."""
@@ -119,7 +125,7 @@ class ByteBpe:
             data = c.encode()
             if next(self.overlaps.iter(data.decode("latin-1")), None):
                 ids = [i for m in self.pattern.findall(c) for i in self.merge(m.encode())]
-                self.known[c] = np.array(ids, dtype="<u4").tobytes()
+                self._keep(c, np.array(ids, dtype="<u4").tobytes())
             elif len(c) > 1 and c[0] == " " and not c[1].isspace():
                 joined.append((c, len(data)))
             else:
@@ -137,7 +143,7 @@ class ByteBpe:
                 cuts = (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1).tolist()
                 data, begin = ids.tobytes(), 0
                 for (c, _), end in zip(own, cuts, strict=True):
-                    self.known[c] = data[4 * begin : 4 * end]
+                    self._keep(c, data[4 * begin : 4 * end])
                     begin = end
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -147,25 +153,24 @@ class ByteBpe:
         is the sequence of its blank-led chunks; each distinct chunk is encoded once per worker.
         """
         split = [_chunks(t) for t in texts]
-        if len(self.known) > CACHE_CHUNKS:
+        if self.held > CACHE_BYTES:
             self.known.clear()
+            self.held = 0
         known = self.known
         self._learn({c for chunks in split for c in chunks if c not in known})
         return [
             np.frombuffer(b"".join([known[c] for c in chunks]), dtype="<u4") for chunks in split
         ]
 
-    def offsets(self, text: str, ids: np.ndarray) -> tuple[list[int], list[int]]:
+    def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and end character of each id: those its bytes lie in, also in part."""
-        owner, n = [], 0  # the character each byte belongs to
-        for n, c in enumerate(text, 1):
-            owner += [n - 1] * len(c.encode())
-        starts, ends, at = [], [], 0
-        for size in self.sizes[ids].tolist():
-            starts.append(owner[at])
-            at += size
-            ends.append(owner[at - 1] + 1)
-        return starts, ends
+        ends = np.cumsum(self.sizes[ids])
+        data = text.encode()
+        if len(data) == len(text):  # a byte for each character
+            return (ends - self.sizes[ids]).astype(np.int32), ends.astype(np.int32)
+        begins = (np.frombuffer(data, dtype=np.uint8) & 0xC0) != 0x80
+        owner = np.cumsum(begins, dtype=np.int32) - 1  # the character each byte belongs to
+        return owner[ends - self.sizes[ids]], owner[ends - 1] + 1
 
     def decode(self, ids: Iterable[int]) -> bytes:
         """Bytes of the ids; characters split between ids come together again."""
@@ -189,13 +194,12 @@ _IDS = pa.schema(
         ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())),
     ]
 )
-_BYTES = pa.schema([("doc_id", pa.int64()), ("data", pa.binary()), ("text", pa.string())])
-_DIGEST = pa.schema(
-    [
-        ("doc_id", pa.int64()), ("n_tokens", pa.int64()),
-        ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()),
-    ]
-)
+
+
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    flat = np.concatenate(rows).astype(np.int32) if rows else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
 def encode(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -211,7 +215,8 @@ def encode(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         for doc_ids, texts in text_runs(batches, 1 << 20):
             ids = bpe.encode(texts)
             starts, ends = zip(*map(bpe.offsets, texts, ids), strict=True)
-            yield arrow_rows(_IDS, doc_id=doc_ids, ids=ids, starts=starts, ends=ends)
+            columns = [pa.array(doc_ids, pa.int64()), *map(_lists, (ids, starts, ends))]
+            yield pa.RecordBatch.from_arrays(columns, schema=_IDS)
 
     return whole_texts(df).mapInArrow(
         run, "doc_id long, ids array<int>, starts array<int>, ends array<int>"
@@ -219,51 +224,47 @@ def encode(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
 
 def decode(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``data`` and ``text`` of the rows' ``ids``; bytes that are no character become U+FFFD.
+    """The rows of ``df`` with ``data`` and ``text`` of their ``ids`` in place of these; bytes
+    that are no character become U+FFFD.
 
-    Null ids are an empty list.
+    Null ids are an empty list. Other columns stay; one named ``data`` or ``text`` is replaced.
     """
     ranks, kept = read_ranks(ranks_path), ("bpe", ranks_path, pattern)
+    others = [f for f in df.schema if f.name.lower() not in ("ids", "data", "text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = worker_kept(kept, lambda: ByteBpe(ranks, pattern))
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                data = [bpe.decode(x or []) for x in some.column(1).to_pylist()]
-                yield arrow_rows(
-                    _BYTES,
-                    doc_id=some.column(0).to_pylist(),
-                    data=data,
-                    text=[x.decode(errors="replace") for x in data],
+            for at in range(0, batch.num_rows, 64):
+                some = batch.slice(at, 64)
+                data = [
+                    bpe.decode(x.values.to_numpy().tolist() if x.is_valid else ())
+                    for x in some.column(0)
+                ]
+                texts = [x.decode(errors="replace") for x in data]
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns[1:], pa.array(data, pa.binary()), pa.array(texts, pa.string())],
+                    names=[*[f.name for f in others], "data", "text"],
                 )
 
-    return df.select(F.col("doc_id").cast("long"), F.col("ids").cast("array<int>")).mapInArrow(
-        run, "doc_id long, data binary, text string"
-    )
+    return df.select(
+        F.col("ids").cast("array<int>"), *[F.col(f"`{f.name}`") for f in others]
+    ).mapInArrow(run, StructType([*others]).add("data", "binary").add("text", "string"))
 
 
 def round_trip(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Digests of encoding and decoding in one pass; the ids never leave the task.
+    """Digests of what :func:`encode` gives and of what :func:`decode` makes of its ids.
 
-    Columns: doc_id, n_tokens, ids_sha256 (decimal ids joined by a blank), decoded_sha256.
+    Columns: doc_id, n_tokens, ids_sha256 (decimal ids joined by a blank), offsets_sha256 (the
+    first characters, then the ends, joined alike), decoded_sha256. A null text is empty, a null
+    id stays null, repeated rows repeat, an empty table gives an empty result.
     """
-    ranks, kept = read_ranks(ranks_path), ("bpe", ranks_path, pattern)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = worker_kept(kept, lambda: ByteBpe(ranks, pattern))
-        decimal = [str(i) for i in range(len(bpe.table))]
-        sha = lambda data: hashlib.sha256(data).hexdigest()
-        for doc_ids, texts in text_runs(batches, 1 << 20):
-            encoded = [x.tolist() for x in bpe.encode(texts)]
-            yield arrow_rows(
-                _DIGEST,
-                doc_id=doc_ids,
-                n_tokens=[len(x) for x in encoded],
-                ids_sha256=[sha(" ".join([decimal[i] for i in x]).encode()) for x in encoded],
-                decoded_sha256=[sha(bpe.decode(x)) for x in encoded],
-            )
-
-    return whole_texts(df).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    decimal = lambda *c: F.sha2(F.array_join(F.concat(*c), " "), 256)
+    coded = encode(df, ranks_path, pattern).select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+        decimal("ids").alias("ids_sha256"), decimal("starts", "ends").alias("offsets_sha256"),
+    )
+    return decode(coded, ranks_path, pattern).select(
+        "doc_id", "n_tokens", "ids_sha256", "offsets_sha256",
+        F.sha2("data", 256).alias("decoded_sha256"),
+    )
