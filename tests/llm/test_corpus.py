@@ -137,6 +137,75 @@ def test_short_texts_are_compared_exactly(spark):
     assert [tuple(r) for r in got] == [(16 / 26, 1.0), (1.0, 1.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)]
 
 
+def plain_expression(tokens):
+    """Names and restriction by recursive descent, loosest operator last; None if malformed."""
+    def level(at, k):
+        if k == 3:
+            if at < len(tokens) and tokens[at] == "(":
+                got = level(at + 1, 0)
+                return got and got[0] < len(tokens) and tokens[got[0]] == ")" and (got[0] + 1, *got[1:]) or None
+            if at < len(tokens) and tokens[at] not in ("and", "or", "with", ")"):
+                return at + 1, {tokens[at]}, licenses.restriction(tokens[at])
+            return None
+        got = level(at, k + 1)
+        while got and got[0] < len(tokens) and tokens[got[0]] == ("or", "and", "with")[k]:
+            more = level(got[0] + 1, k + 1)
+            if not more:
+                return None
+            both = (min if k == 0 else max)(got[2], more[2])
+            got = (more[0], got[1], got[2] / 2) if k == 2 else (more[0], got[1] | more[1], both)
+        return got
+
+    got = level(0, 0)
+    return got[1:] if got and got[0] == len(tokens) else None
+
+
+def plain_findings(text):
+    """Labels and score with neither automaton nor stack."""
+    text = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+    words = " " + " ".join(re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", text)) + " "
+    phrases = {**licenses.NOTICE_PHRASES, **licenses.BASE_PHRASES}
+    labels = {label for p, label in phrases.items() if f" {p} " in words}
+    score = max(map(licenses.restriction, labels), default=0.0)
+    for m in re.finditer("(?:license-identifier|license-expression):([^\n]*)", text):
+        tokens, rest = [], m[1]
+        while t := re.match(r"\s*([()]|[a-z0-9]([a-z0-9.+:-]*[a-z0-9+])?)", rest):
+            tokens.append(t[1])
+            rest = rest[t.end() :]
+        tries = (plain_expression(tokens[:k]) for k in range(len(tokens), 0, -1))
+        names, strict = next(filter(None, tries), ({"invalid-expression"}, 0.5))
+        labels |= names
+        score = max(score, strict)
+    return ",".join(sorted(labels)), score
+
+
+@pytest.mark.parametrize(
+    "line, names",
+    [
+        ("/* SPDX-License-Identifier: GPL-2.0 */", "gpl-2.0"),
+        ("<!-- SPDX-License-Identifier: MIT -->", "mit"),
+        ("<!-- SPDX-License-Identifier: MIT-->", "mit"),
+        ('"license-expression: MIT"', "mit"),
+        ("License-Identifier: Apache-2.0, see LICENSE", "apache-2.0"),
+        ("# SPDX-License-Identifier: (MIT or GPL-2.0+) with X.", "gpl-2.0+,mit"),
+        ("// SPDX-License-Identifier: MIT OR (ISC and", "mit"),
+        ("SPDX-License-Identifier: */ MIT", "invalid-expression"),
+        ("SPDX-License-Identifier:", "invalid-expression"),
+    ],
+)
+def test_expressions_in_comments(line, names):
+    got = licenses.Scanner(licenses.BASE_PHRASES, licenses.NOTICE_PHRASES).scan(line + "\nmore text")
+    assert got[5] == names and got[5:] == plain_findings(line)
+
+
+def test_random_expressions():
+    parts = ["mit", "gpl-2.0", "isc", "agpl-3.0+", "and", "or", "with", "(", ")", ",", "*/"]
+    scanner = licenses.Scanner(licenses.BASE_PHRASES, licenses.NOTICE_PHRASES)
+    for _ in range(4000):
+        line = "spdx-license-identifier: " + " ".join(rng.choice(parts) for _ in range(rng.randint(0, 9)))
+        assert scanner.scan(line)[5:] == plain_findings(line)
+
+
 def test_licenses(docs):
     got = Counter(tuple(r) for r in OPERATORS["licenses"](docs).collect())
     want = Counter()
@@ -156,6 +225,7 @@ def test_licenses(docs):
     for bad in ("", "mit or", "(mit", "mit)", "or mit", "mit isc", "mit %"):
         with pytest.raises(ValueError):
             licenses.to_postfix(bad)
+    assert Counter((k[0], k[6], k[7]) for k in got.elements()) == Counter((i, *plain_findings(t or "")) for i, t, *_ in ROWS)
     by_id = {k[0]: k for k in got}
     spdx = next(i for i, t, *_ in ROWS if t and "AND ISC" in t)
     assert by_id[spdx][6] == "cc-by,gpl-2.0,isc,mit"
@@ -344,6 +414,30 @@ def test_suffix_array():
             assert common[p] == h
 
 
+def plain_offsets(text, tokens):
+    owner = [i for i, c in enumerate(text) for _ in c.encode()]
+    cuts = [0]
+    for t in tokens:
+        cuts.append(cuts[-1] + len(t))
+    return [owner[a] for a in cuts[:-1]], [owner[z - 1] + 1 for z in cuts[1:]]
+
+
+def test_bpe_cache_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 1 << 16)
+    own = bpe.ByteBpe(bpe.read_ranks(P.path("byte_bpe_50k.tiktoken")), P.PATTERN)
+    for k in range(60):
+        text = "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(1000)) + f" {k}"
+        assert own.decode(own.encode([text])[0].tolist()).decode() == text
+        assert own.held < (1 << 16) + 20_000 and sum(map(len, own.known)) < 1 << 15
+
+
+def test_bpe_decodes_any_rows(spark):
+    rows = [(1, None, "x", "y"), (2, [], "x", "y"), (3, [33, 0], "x", "y")]
+    got = bpe.decode(spark.createDataFrame(rows, "doc_id long, ids array<int>, text string, `a b` string"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    assert got.columns == ["doc_id", "a b", "data", "text"]
+    assert [(r.doc_id, r["a b"], bytes(r.data).decode() == r.text) for r in got.collect()] == [(i, "y", True) for i in (1, 2, 3)]
+
+
 def test_bpe(spark, docs):
     ranks = bpe.read_ranks(P.path("byte_bpe_50k.tiktoken"))
     known = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -351,7 +445,9 @@ def test_bpe(spark, docs):
     want = Counter()
     for i, t, *_ in ROWS:
         ids = known.encode_ordinary(t or "")
-        want[(i, len(ids), sha(" ".join(map(str, ids)).encode()), sha((t or "").encode()))] += 1
+        starts, ends = plain_offsets(t or "", [known.decode_single_token_bytes(x) for x in ids])
+        digests = [sha(" ".join(map(str, x)).encode()) for x in (ids, starts + ends)]
+        want[(i, len(ids), *digests, sha((t or "").encode()))] += 1
     assert Counter(tuple(r) for r in OPERATORS["bpe"](docs).collect()) == want
     own = bpe.ByteBpe(ranks, P.PATTERN)
     parts = ["a", " ", "  ", "\n", "--", "=", "é", "日本", "🙂", "'s", "1", "\x1c", "aaaa", " x", "　", "____"]
@@ -383,6 +479,18 @@ def test_quality(docs):
         assert q.kept == (not failed and q.lost <= 0.5)
 
 
+def test_sharding_one_row_repeated(spark):
+    for repeated in ((7, "copy of one text"), (None, "copy of one text " * 9)):
+        many = [repeated] * 3000 + [(i, prose(rng.randint(1, 30))) for i in range(6000)]
+        got = sharding.vector_shards(spark.createDataFrame(many, "doc_id long, text string")).collect()
+        filled, n = Counter(), Counter(r.shard for r in got)
+        for r in got:
+            filled[r.shard] += r["size"]
+        assert len(got) == 9000 and max(filled.values()) < 1.02 * min(filled.values())
+        assert max(n.values()) < 1.25 * min(n.values())
+        assert sorted((r.shard, r.slot) for r in got) == [(s, k) for s in range(8) for k in range(n[s])]
+
+
 def test_sharding(spark, docs):
     got = OPERATORS["sharding"](docs).collect()
     want = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, *_ in ROWS)
@@ -469,6 +577,38 @@ def test_pipeline_stages(spark, docs, tmp_path):
     assert len(cut) == len(ROWS) and all((r.text is None) == (r.n_chars is None) or r.text is None for r in cut)
 
 
+def test_stages_with_any_column_names(spark, docs, tmp_path):
+    spark.createDataFrame([(3, 1), (6, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    names = ["_null", "no_text", "own", "row", "doc", "data", "score", "quality", "fp", "root", "a.b", "part"]
+    odd = docs.select("*", *[F.lit(k).alias(c) for k, c in enumerate(names)])
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, odd, str(tmp_path))
+        if name != "best_fit_packing":
+            assert got.columns == odd.columns
+            assert all(r[c] == k for r in got.collect() for k, c in enumerate(names))
+        else:
+            assert got.count() > 0
+
+
+def test_second_hash_is_its_own():
+    from shelftalk.llm import windows
+
+    hashes = np.random.default_rng(1).integers(0, 1 << 63, 400, dtype=np.uint64)
+    *_, span = windows.occurrences(hashes, np.array([0, 400]), 50, 25)
+    at = np.arange(300)
+    first, second = span(at, 50), span(at, 50, second=True)
+    again = windows.occurrences(np.tile(hashes, 2), np.array([0, 800]), 50, 25)[-1]
+    assert (again(at + 400, 50, second=True) == second).all() and (again(at + 400, 50) == first).all()
+    assert not (first == second).any()
+    # equal in the first hash, not in the second: what one unit gains, its neighbour loses
+    shifted = hashes.copy()
+    shifted[10:11] -= np.uint64(windows._BASE)
+    shifted[11:12] += np.uint64(1)
+    other = windows.occurrences(shifted, np.array([0, 400]), 50, 25)[-1]
+    assert other(at[:5], 50).tolist() == first[:5].tolist()
+    assert not set(other(at[:5], 50, second=True).tolist()) & set(second.tolist())
+
+
 def test_pipeline_passes_cleaned_text(spark, tmp_path):
     body = [" ".join(VOCABULARY[k : k + 8]) + "." for k in range(0, 160, 8)]
     made = [(1, "\n".join(["Home | About | » Shop | »", *body, "", "Click here"]), "en", 7), (2, "\n".join(body), "en", 7), (3, "short", "en", 5)]
