@@ -36,6 +36,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+def token_table(ranks: dict[bytes, int]) -> list[bytes]:
+    """Bytes of each id; ids without a token have none."""
+    table = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        table[rank] = token
+    return table
+
+
 class ByteBpe:
     """Ids by the tokenizers library, built from ranks.
 
@@ -50,10 +58,9 @@ class ByteBpe:
         self.ranks = ranks
         chars = byte_characters()
         self.to_chars = lambda data: "".join([chars[b] for b in data])
-        self.table: list[bytes] = [b""] * (max(ranks.values()) + 1)
+        self.table = token_table(ranks)
         merges, overlaps = [], set()
         for token, rank in ranks.items():
-            self.table[rank] = token
             cuts = [c for c in range(1, len(token)) if token[:c] in ranks and token[c:] in ranks]
             merges += [(rank, c, token) for c in cuts]
             for a in cuts:
@@ -117,19 +124,31 @@ class ByteBpe:
                 offer(prev[i])
         return [self.ranks[data[i : end[i]]] for i in range(len(data)) if alive[i]]
 
+    def _overlapping(self, chunks: list[str], line: int = 64) -> set[str]:
+        """Chunks that hold an overlap; many are looked through at once, then one by one."""
+        found = set()
+        for at in range(0, len(chunks), line):
+            some = chunks[at : at + line]
+            if next(self.overlaps.iter("".join(some).encode().decode("latin-1")), None):
+                if line == 1:
+                    found.update(some)
+                else:
+                    found |= self._overlapping(some, line // 8)
+        return found
+
     def _learn(self, chunks: set[str], line: int = 256) -> None:
         """Encode chunks many at a time: joined, each still begins a match of its own, and the
         sizes of the ids tell where it ends."""
         single, joined = [], []
+        odd = self._overlapping(list(chunks))
         for c in chunks:
-            data = c.encode()
-            if next(self.overlaps.iter(data.decode("latin-1")), None):
+            if c in odd:
                 ids = [i for m in self.pattern.findall(c) for i in self.merge(m.encode())]
                 self._keep(c, np.array(ids, dtype="<u4").tobytes())
             elif len(c) > 1 and c[0] == " " and not c[1].isspace():
-                joined.append((c, len(data)))
+                joined.append((c, len(c) if c.isascii() else len(c.encode())))
             else:
-                single.append((c, len(data)))
+                single.append((c, len(c.encode())))
         lines = [joined[i : i + line] for i in range(0, len(joined), line)]
         lines += [[x] for x in single]
         for at in range(0, len(lines), 32):
@@ -157,10 +176,12 @@ class ByteBpe:
             self.known.clear()
             self.held = 0
         known = self.known
-        self._learn({c for chunks in split for c in chunks if c not in known})
-        return [
-            np.frombuffer(b"".join([known[c] for c in chunks]), dtype="<u4") for chunks in split
-        ]
+        found = [list(map(known.get, chunks)) for chunks in split]
+        gaps = [k for k, ids in enumerate(found) if None in ids]
+        self._learn({c for k in gaps for c, ids in zip(split[k], found[k]) if ids is None})
+        for k in gaps:
+            found[k] = [known[c] if ids is None else ids for c, ids in zip(split[k], found[k])]
+        return [np.frombuffer(b"".join(ids), dtype="<u4") for ids in found]
 
     def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and end character of each id: those its bytes lie in, also in part."""
@@ -174,8 +195,7 @@ class ByteBpe:
 
     def decode(self, ids: Iterable[int]) -> bytes:
         """Bytes of the ids; characters split between ids come together again."""
-        table = self.table
-        return b"".join([table[i] for i in ids])
+        return b"".join(map(self.table.__getitem__, ids))
 
 
 def _chunks(text: str) -> list[str]:
@@ -223,22 +243,21 @@ def encode(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     )
 
 
-def decode(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def decode(df: DataFrame, ranks_path: str) -> DataFrame:
     """The rows of ``df`` with ``data`` and ``text`` of their ``ids`` in place of these; bytes
     that are no character become U+FFFD.
 
     Null ids are an empty list. Other columns stay; one named ``data`` or ``text`` is replaced.
     """
-    ranks, kept = read_ranks(ranks_path), ("bpe", ranks_path, pattern)
+    table = token_table(read_ranks(ranks_path))
     others = [f for f in df.schema if f.name.lower() not in ("ids", "data", "text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = worker_kept(kept, lambda: ByteBpe(ranks, pattern))
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 some = batch.slice(at, 64)
                 data = [
-                    bpe.decode(x.values.to_numpy().tolist() if x.is_valid else ())
+                    b"".join(map(table.__getitem__, x.values.to_numpy().tolist() if x.is_valid else ()))
                     for x in some.column(0)
                 ]
                 texts = [x.decode(errors="replace") for x in data]
@@ -255,16 +274,16 @@ def decode(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 def round_trip(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Digests of what :func:`encode` gives and of what :func:`decode` makes of its ids.
 
-    Columns: doc_id, n_tokens, ids_sha256 (decimal ids joined by a blank), offsets_sha256 (the
-    first characters, then the ends, joined alike), decoded_sha256. A null text is empty, a null
+    Columns: doc_id, n_tokens, ids_sha256 (decimal ids joined by a blank), offsets_xxh64 (Spark's
+    ``xxhash64`` of ``starts`` and ``ends``), decoded_sha256. A null text is empty, a null
     id stays null, repeated rows repeat, an empty table gives an empty result.
     """
-    decimal = lambda *c: F.sha2(F.array_join(F.concat(*c), " "), 256)
     coded = encode(df, ranks_path, pattern).select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
-        decimal("ids").alias("ids_sha256"), decimal("starts", "ends").alias("offsets_sha256"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.xxhash64("starts", "ends").alias("offsets_xxh64"),
     )
-    return decode(coded, ranks_path, pattern).select(
-        "doc_id", "n_tokens", "ids_sha256", "offsets_sha256",
+    return decode(coded, ranks_path).select(
+        "doc_id", "n_tokens", "ids_sha256", "offsets_xxh64",
         F.sha2("data", 256).alias("decoded_sha256"),
     )
