@@ -141,14 +141,22 @@ def encode_padded(
     The start id is the first one after the vocabulary, the end id the next.
     """
     encode = subword_encoder(subwords)
-    size = subwords.count()
     both = pairs.withColumns({f"{s}_ids": encode(F.col(s)) for s in ("input", "target")})
-    marked = both.withColumns(
-        {f"{s}_ids": bracket(F.col(f"{s}_ids"), size + 1, size + 2) for s in ("input", "target")}
-    )
+    return padded(both, subwords.count(), max_length)
+
+
+def padded(encoded: DataFrame, size: int, max_length: int = 40) -> DataFrame:
+    """``input_ids`` and ``target_ids`` between ``size + 1`` and ``size + 2``, filled up with 0.
+
+    Rows where one of them, with its marks, is longer than ``max_length`` drop out, as do rows
+    without one.
+    """
+    sides = ("input_ids", "target_ids")
+    marked = encoded.withColumns({c: bracket(F.col(c), size + 1, size + 2) for c in sides})
     fits = (F.size("input_ids") <= max_length) & (F.size("target_ids") <= max_length)
-    return marked.where(fits).withColumns(
-        {f"{s}_ids": pad_to(F.col(f"{s}_ids"), max_length) for s in ("input", "target")}
+    present = F.col("input_ids").isNotNull() & F.col("target_ids").isNotNull()
+    return marked.where(present & fits).withColumns(
+        {c: pad_to(F.col(c), max_length) for c in sides}
     )
 
 

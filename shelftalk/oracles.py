@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from shelftalk.plans import standins as S
-from shelftalk.queries import CAP, LEAST, MAX_WORDS, POPULAR, SUPPORT, SWEEP, TITLE
+from shelftalk.queries import CAP, LEAST, MAX_WORDS, PADDED, POPULAR, SUPPORT, SWEEP, TITLE
 
 
 def _values(words, column: str) -> str:
@@ -463,6 +463,14 @@ UNION ALL SELECT 'pairs', (SELECT count(*) FROM kept), (SELECT count(*) FROM sho
             _ENCODED,
             """SELECT pair_id, array_to_string(input_ids, ' ') AS input_ids,
 array_to_string(target_ids, ' ') AS target_ids FROM encoded""",
+        ),
+        "padded_pairs": _with(
+            _ENCODED,
+            f""", marked AS (
+  SELECT pair_id, list_concat([m + 1], input_ids, [m + 2]) AS i, list_concat([m + 1], target_ids, [m + 2]) AS t
+  FROM encoded, (SELECT count(*) AS m FROM vocab))
+SELECT pair_id, array_to_string(list_resize(i, {PADDED}, 0), ' ') AS input_ids,
+array_to_string(list_resize(t, {PADDED}, 0), ' ') AS target_ids FROM marked WHERE len(i) <= {PADDED} AND len(t) <= {PADDED}""",
         ),
         "draw_trimmed_pairs": _with(
             f"{_trimmed(2)},\n{_drawn('kept')}", "SELECT draw, pair_id FROM drawn"
@@ -496,6 +504,7 @@ max_target_len FROM grouped""",
             _SLUGS,
             """SELECT tag_name, min(page_id) AS page_id, 0 AS pos FROM slugs GROUP BY tag_name""",
         ),
+        "page_table": "SELECT page_id, url, html FROM pages",
         "page_genres": _with(
             _attribute("a", "href"),
             """SELECT substr(value, 2) AS tag_name, min((page_id, pos))[1] AS page_id,
@@ -512,6 +521,9 @@ FROM (SELECT *, substr(value, 2) AS w FROM found) WHERE regexp_matches(value, '/
             """SELECT row_number() OVER (ORDER BY page_id, pos) - 1 AS idx, value AS href,
 'to ' || value AS label FROM found""",
         ),
+        "ratings_of_book_and_value": _with(
+            _RATINGS, "SELECT book_id, user_id, rating FROM ratings WHERE book_id = 7 AND rating = 4"
+        ),
         "csv_round_trip": _with(_RATINGS, "SELECT book_id, user_id, rating FROM ratings"),
         "csv_index_dropped": """SELECT 'Supplier#' || lpad(CAST(3 * s_suppkey AS VARCHAR), 9, '0') AS title,
 CAST(1 + s_nationkey % 5 AS INTEGER) AS rating FROM supplier""",

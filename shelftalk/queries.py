@@ -26,6 +26,7 @@ TITLE = "red widget"
 LEAST = 0.3  # minimum cosine of a pair
 POPULAR = 460
 CAP = 20
+PADDED = 40  # ids of a padded sequence, its marks included
 QUERIES: dict[str, Query] = {}
 
 
@@ -466,6 +467,18 @@ def decode_ids(spark, d):
     return B.decode(encoded, ready.vocabulary, "pair_id", "input_ids")
 
 
+@query
+def padded_pairs(spark, d):
+    ready = _prepared(spark, d)
+    encoded = B.encode_pairs(ready.pairs, ready.vocabulary)
+    made = subwords.padded(encoded, ready.vocabulary.count(), max_length=PADDED)
+    return made.select(
+        "pair_id",
+        _joined(F.col("input_ids")).alias("input_ids"),
+        _joined(F.col("target_ids")).alias("target_ids"),
+    )
+
+
 def _corpus(pairs: DataFrame) -> DataFrame:
     return pairs.selectExpr("input AS text").unionAll(pairs.selectExpr("target AS text"))
 
@@ -530,6 +543,13 @@ def page_slugs(spark, d):
     return web.distinct_slugs(urls)
 
 
+@query
+def page_table(spark, d):
+    path = new_path(spark)
+    S.pages(spark, d).write.parquet(path)
+    return files.read_pages(spark, path)
+
+
 @query
 def page_genres(spark, d):
     return page_plans.genres(S.genre_pages(spark, d))
@@ -556,6 +576,12 @@ def zip_lists(spark, d):
 # ---------------------------------------------------------------- files
 
 
+@query
+def ratings_of_book_and_value(spark, d):
+    both = (F.col("book_id") == 7) & (F.col("rating") == 4)
+    return S.ratings(spark, d).where(both).select("book_id", "user_id", "rating")
+
+
 @query
 def csv_round_trip(spark, d):
     path = new_path(spark)

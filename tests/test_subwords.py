@@ -49,3 +49,15 @@ def test_decoding_keeps_empty_and_rejects_unknown(spark):
     assert got == [(1, "ab c"), (2, "")]
     with pytest.raises(Exception, match="unknown subword id"):
         W.decode_subwords(rows.selectExpr("k", "array(9) ids"), pieces, "k", "ids").collect()
+
+
+def test_padding_edges(spark):
+    rows = [(1, [5, 6], [7]), (2, [], []), (3, [5] * 4, [5]), (4, None, [5]), (5, [5] * 3, [5] * 3)]
+    df = spark.createDataFrame(rows, "k long, input_ids array<int>, target_ids array<int>")
+    got = W.padded(df, 9, 5).orderBy("k").collect()
+    assert [tuple(r) for r in got] == [
+        (1, [10, 5, 6, 11, 0], [10, 7, 11, 0, 0]),
+        (2, [10, 11, 0, 0, 0], [10, 11, 0, 0, 0]),
+        (5, [10, 5, 5, 5, 11], [10, 5, 5, 5, 11]),
+    ]
+    assert W.padded(df.limit(0), 9, 5).collect() == []
