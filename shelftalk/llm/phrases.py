@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from shelftalk.llm.common import arrow_rows
-from shelftalk.llm.windows import Units, covered_units, covered_windows, id_or_null, numbered
+from shelftalk.llm.windows import Units, covered_units, covered_windows, numbered
 
 WORDS = Units(words=True)
 
@@ -78,11 +78,11 @@ def repeated_words(df: DataFrame, units: Units = WORDS) -> DataFrame:
                 words = units.cut(text.as_py())
                 covered = covered_units(data.as_py(), len(words), units.size)
                 kept = [words[i] for i in np.flatnonzero(~covered).tolist()] if covered.any() else words
-                rows.append((id_or_null(doc), len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
+                rows.append((doc, len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
             if rows:
                 yield arrow_rows(_DIGEST, **dict(zip(_DIGEST.names, zip(*rows, strict=True), strict=True)))
 
     found = covered_windows(numbered(df), units, confirm_by_automata(units.size), block=1 << 20)
-    return found.select("doc", "text", "data").mapInArrow(
+    return found.select("doc_id", "text", "data").mapInArrow(
         run, "doc_id long, n_words long, n_removed long, kept_sha256 string"
     )

@@ -13,20 +13,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from shelftalk.llm.common import arrow_rows
-from shelftalk.llm.windows import NO_ID, Units, covered_units, covered_windows, id_or_null, numbered
+from shelftalk.llm.windows import NO_ID, Units, covered_units, covered_windows, numbered
 
 BYTES = Units(words=False)
 SHARD = 256 << 10  # bytes of a suffix array
 
 
 def suffix_array(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All suffixes in order, and each one's place. Codes are below 512.
+    """All suffixes in order, and each one's place. Codes are below 511.
 
     Larsson-Sadakane: after a first sort by four codes, only groups of still equal suffixes
     are sorted again, by the rank of what follows them, and the compared length doubles.
     """
     n = len(codes)
-    padded = np.concatenate([codes, np.zeros(3, dtype=np.int64)]).astype(np.int64)
+    padded = np.concatenate([codes + 1, np.zeros(3, dtype=np.int64)]).astype(np.int64)  # 0: the end
     key = (padded[:n] << 27) | (padded[1 : n + 1] << 18) | (padded[2 : n + 2] << 9) | padded[3 : n + 3]
     order = np.argsort(key, kind="stable")
     rank = np.zeros(n + 1, dtype=np.int64)  # of the end of the text: 0, of others from 1
@@ -115,16 +115,29 @@ class Shard:
         ended = np.hstack([rows, np.ones((len(rows), 1), dtype=np.uint8)])
         self.windows = np.ascontiguousarray(ended).view(f"S{size + 1}").reshape(-1)
 
-    def merged(self, others: list["Shard"]) -> np.ndarray:
-        """Smallest id of each window over all shards, found by binary search in each."""
-        least = self.least.copy()
-        for other in others:
-            if other is self or not len(other.windows):
-                continue
-            at = np.minimum(np.searchsorted(other.windows, self.windows), len(other.windows) - 1)
-            hit = other.windows[at] == self.windows
-            least[hit] = np.minimum(least[hit], other.least[at[hit]])
-        return least
+
+Table = tuple[np.ndarray, np.ndarray]  # distinct windows in order, the smallest id of each
+
+
+def merge_two(one: Table, other: Table) -> Table:
+    """Windows of both, each placed by binary search."""
+    (windows, least), (more, ids) = one, other
+    at = np.searchsorted(windows, more)
+    known = at < len(windows)
+    known[known] = windows[at[known]] == more[known]
+    least = least.copy()
+    least[at[known]] = np.minimum(least[at[known]], ids[known])
+    new = ~known
+    return np.insert(windows, at[new], more[new]), np.insert(least, at[new], ids[new])
+
+
+def merge_all(tables: list[Table]) -> Table:
+    """Windows of all shards: neighbours merged, then their results, so that a window moves once
+    for each doubling."""
+    while len(tables) > 1:
+        pairs = zip(tables[::2], tables[1::2])
+        tables = [merge_two(*p) for p in pairs] + tables[len(tables) // 2 * 2 :]
+    return tables[0]
 
 
 def confirm_by_suffixes(size: int, shard: int = SHARD):
@@ -135,10 +148,11 @@ def confirm_by_suffixes(size: int, shard: int = SHARD):
         number = ends // shard
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(number)) + 1, [len(texts)]])
         shards = [Shard(doc[a:z], texts[a:z], size) for a, z in zip(cuts, cuts[1:]) if z > a]
+        windows, smallest = merge_all([(s.windows, s.least) for s in shards])
         found = []
         for s, (a, z) in zip(shards, ((a, z) for a, z in zip(cuts, cuts[1:]) if z > a), strict=True):
-            least = s.merged(shards)
-            hit = s.own > least[s.group] if len(s.group) else np.zeros(0, dtype=bool)
+            least = smallest[np.searchsorted(windows, s.windows)]
+            hit = s.own > least[s.group]
             by_text = [np.zeros(0, dtype=np.int64)] * (z - a)
             text, place = s.text[hit], s.place[hit]
             order = np.lexsort((place, text))
@@ -192,12 +206,12 @@ def repeated_bytes(df: DataFrame) -> DataFrame:
             for doc, text, data in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 kept, covered = keep_bytes(text.as_py(), data.as_py())
                 rows.append(
-                    (id_or_null(doc), len(covered), len(covered) - len(kept), len(removed_spans(covered)), hashlib.sha256(kept).hexdigest())
+                    (doc, len(covered), len(covered) - len(kept), len(removed_spans(covered)), hashlib.sha256(kept).hexdigest())
                 )
             if rows:
                 yield arrow_rows(_DIGEST, **dict(zip(_DIGEST.names, zip(*rows, strict=True), strict=True)))
 
-    return _covered(numbered(df)).select("doc", "text", "data").mapInArrow(
+    return _covered(numbered(df)).select("doc_id", "text", "data").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 

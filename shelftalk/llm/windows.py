@@ -40,17 +40,20 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _OTHER = np.uint64(0xA0761D6478BD642F)  # turns the units' numbers into a second set
 _48 = np.uint64((1 << 48) - 1)
-RUN = 1 << 20  # units handled at once
 FLUSH = 1 << 19  # occurrences gathered before they are sent
 
 
 @dataclass(frozen=True)
 class Units:
-    """How a text is cut: into bytes, or into words without ASCII white space."""
+    """How a text is cut: into bytes, or into words without ASCII white space.
+
+    ``run`` units are hashed at once; longer texts in runs that overlap by a window less a unit.
+    """
 
     words: bool
     size: int = 50
     anchor: int = 25
+    run: int = 1 << 20
 
     def cut(self, text: str) -> bytes | list[bytes]:
         data = text.encode()
@@ -215,27 +218,36 @@ def _texts(batches) -> Iterator[tuple[int, str]]:
 
 
 def _scan(batches, units: Units):
-    """Occurrences of runs of documents: ids, CRCs, then arrays with the document's number."""
-    ids, crcs, cuts, size = [], [], [], 0
+    """Occurrences of runs of documents: ids, CRCs, then arrays with the document's number.
+
+    A text of more than ``units.run`` windows counts as several documents of one id: each window
+    is in one of them, and ``begins`` says where each document's text would begin.
+    """
+    ids, crcs, cuts, skipped, size = [], [], [], [], 0
 
     def found():
         starts = np.concatenate([[0], np.cumsum([len(c) for c in cuts])]).astype(np.int64)
         hashes = np.concatenate([units.hashes(c) for c in cuts])
         key, stretch, first, count, span = occurrences(hashes, starts, units.size, units.anchor)
         doc = np.searchsorted(starts, first, side="right") - 1
-        return np.array(ids, dtype=np.int64), np.array(crcs, dtype=np.uint32), key, stretch, first, count, doc, starts, span
+        begins = starts[:-1] - np.array(skipped, dtype=np.int64)
+        return np.array(ids, dtype=np.int64), np.array(crcs, dtype=np.uint32), key, stretch, first, count, doc, begins, span
 
     for doc_id, text in _texts(batches):
         cut = units.cut(text)
         if len(cut) < units.size:
             continue
-        if cuts and size + len(cut) > RUN:
-            yield found()
-            ids, crcs, cuts, size = [], [], [], 0
-        ids.append(doc_id)
-        crcs.append(zlib.crc32(text.encode()))
-        cuts.append(cut)
-        size += len(cut)
+        crc = zlib.crc32(text.encode())
+        for at in range(0, len(cut) - units.size + 1, units.run):
+            part = cut[at : at + units.run + units.size - 1]
+            if cuts and size + len(part) > units.run:
+                yield found()
+                ids, crcs, cuts, skipped, size = [], [], [], [], 0
+            ids.append(doc_id)
+            crcs.append(crc)
+            cuts.append(part)
+            skipped.append(at)
+            size += len(part)
     if cuts:
         yield found()
 
@@ -293,7 +305,7 @@ def _send(units: Units, parts: int, frequent: np.ndarray) -> Callable:
             )
             return _batch(rows)
 
-        for ids, crcs, key, stretch, first, count, doc, starts, span in _scan(batches, units):
+        for ids, crcs, key, stretch, first, count, doc, begins, span in _scan(batches, units):
             if len(frequent) and len(key):
                 near = np.minimum(np.searchsorted(frequent, key), len(frequent) - 1)
                 often = frequent[near] == key
@@ -309,7 +321,7 @@ def _send(units: Units, parts: int, frequent: np.ndarray) -> Callable:
                     first = np.concatenate([first[rest], at])
                     count = np.concatenate([count[rest], np.ones(len(at), dtype=count.dtype)])
                     doc = np.concatenate([doc[rest], doc[each]])
-            held.append((ids, crcs, key, stretch, first - starts[doc], count, doc))
+            held.append((ids, crcs, key, stretch, first - begins[doc], count, doc))
             size += len(key)
             if size >= FLUSH:
                 yield flush()
@@ -526,20 +538,18 @@ def covered_units(data: bytes | None, n: int, size: int) -> np.ndarray:
     if data is None:
         return np.zeros(n, dtype=bool)
     first, count = unpack(data, "u4", "u2")
-    step = np.zeros(n + 1, dtype=np.int64)
+    step = np.zeros(n + 1, dtype=np.int32)
     first = first.astype(np.int64)
     np.add.at(step, first, 1)
     np.add.at(step, first + count + size - 1, -1)
-    return np.cumsum(step[:-1]) > 0
+    np.cumsum(step, out=step)
+    return step[:-1] > 0
 
 
 def numbered(df: DataFrame) -> DataFrame:
-    """``doc`` (a null id as the largest), ``text`` (null as empty) and the row itself."""
+    """``doc`` (a null id as the largest), ``text`` (null as empty) and the id itself."""
     return df.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-
-
-def id_or_null(doc: int) -> int | None:
-    return None if doc == NO_ID else doc

@@ -395,6 +395,48 @@ def test_frequent_anchors(spark, docs, monkeypatch):
     assert Counter(tuple(r) for r in suffixes.repeated_bytes(docs).collect()) == want
 
 
+def test_texts_longer_than_a_run(docs):
+    """Passages that lie across the ends of runs, of which a text has dozens here."""
+    from shelftalk.llm import phrases, windows
+
+    want = windows_brute(lambda t: t.encode().split(), b" ".join, False)
+    for run in (1, 7, 61):
+        got = phrases.repeated_words(docs, windows.Units(words=True, run=run))
+        assert Counter(tuple(r) for r in got.collect()) == want
+    table = windows.numbered(docs)
+    plain, cut = (
+        Counter(
+            (r.doc_id, r.text, bytes(windows.covered_units(r.data, len(r.text.encode()), 50)))
+            for r in windows.covered_windows(table, units, suffixes.confirm_by_suffixes(50)).collect()
+        )
+        for units in (windows.Units(words=False), windows.Units(words=False, run=97))
+    )
+    assert plain == cut and any(any(mask) for _, _, mask in plain)
+
+
+def test_largest_id_is_no_null(spark):
+    top, text = (1 << 63) - 1, "".join(chr(97 + i * i % 26) for i in range(40)) + "x" * 30
+    table = spark.createDataFrame([(top, text), (7, text), (-3, "y")], "doc_id long, text string")
+    for operator, units, gone in ((suffixes.repeated_bytes, 70, 70), (OPERATORS["phrases"], 1, 0)):
+        got = {r.doc_id: (r[1], r.n_removed) for r in operator(table).collect()}
+        assert got == {top: (units, gone), 7: (units, 0), -3: (1, 0)}
+
+
+def test_windows_across_shards():
+    import numpy as np
+
+    for shard in (1, 40, 300, 1 << 20):
+        texts = [bytes(rng.choice(b"ab\x00\xff") for _ in range(rng.randint(0, 40))) for _ in range(41)]
+        doc = np.array([rng.randint(-5, 5) for _ in texts])
+        least = {}
+        for d, t in zip(doc.tolist(), texts):
+            for q in range(len(t) - 4):
+                least[t[q : q + 5]] = min(least.get(t[q : q + 5], d), d)
+        want = [[q for q in range(len(t) - 4) if least[t[q : q + 5]] < d] for d, t in zip(doc.tolist(), texts)]
+        found = suffixes.confirm_by_suffixes(5, shard)(None, doc, texts)
+        assert [f.tolist() for f in found] == want
+
+
 def test_suffix_array():
     import numpy as np
 
