@@ -231,7 +231,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     ranks, kept = read_ranks(ranks_path), ("bpe", ranks_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = worker_kept(kept, lambda: ByteBpe(ranks, pattern))
+        bpe = worker_kept("chunks", kept, lambda: ByteBpe(ranks, pattern))
         for doc_ids, texts in text_runs(batches, 1 << 20):
             ids = bpe.encode(texts)
             starts, ends = zip(*map(bpe.offsets, texts, ids), strict=True)

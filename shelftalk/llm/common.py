@@ -57,16 +57,21 @@ def text_runs(
 T = TypeVar("T")
 
 
-def worker_kept(key: object, make: Callable[[], T]) -> T:
+def worker_kept(owner: str, key: object, make: Callable[[], T]) -> T:
     """``make()``, or what it gave an earlier task of this Python worker under the same key.
 
-    Task functions travel by value, so module globals do not outlive a task; this does.
+    Task functions travel by value, so module globals do not outlive a task; this does. What
+    another owner keeps is let go, so that a worker that serves one stage after another never
+    holds the tables of two.
     """
     name = "shelftalk_worker_kept"
     kept = sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault("kept", {})
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    for other in [o for o in kept if o != owner]:
+        del kept[other]
+    own = kept.setdefault(owner, {})
+    if key not in own:
+        own[key] = make()
+    return own[key]
 
 
 def arrow_rows(schema: pa.Schema, **columns) -> pa.RecordBatch:

@@ -183,7 +183,7 @@ def token_pieces(
     schema = _PIECES if with_ids else pa.schema(list(_PIECES)[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_kept(("words", tokenizer_json), lambda: WordEncoder(tokenizer_json))
+        encoder = worker_kept("words", tokenizer_json, lambda: WordEncoder(tokenizer_json))
         end = np.array([end_id], dtype="<u4").tobytes()
         for ids, texts in text_runs(batches, _TOGETHER):
             rows = []

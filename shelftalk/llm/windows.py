@@ -53,7 +53,7 @@ class Units:
     words: bool
     size: int = 50
     anchor: int = 25
-    run: int = 1 << 20
+    run: int = 1 << 18
 
     def cut(self, text: str) -> bytes | list[bytes]:
         data = text.encode()
@@ -62,7 +62,7 @@ class Units:
     def hashes(self, units: bytes | list[bytes]) -> np.ndarray:
         if self.words:
             return np.fromiter(map(xxhash.xxh64_intdigest, units), dtype=np.uint64, count=len(units))
-        table = worker_kept("byte hashes", lambda: np.random.default_rng(11).integers(0, 1 << 64, 256, dtype=np.uint64))
+        table = worker_kept("windows", "byte hashes", lambda: np.random.default_rng(11).integers(0, 1 << 64, 256, dtype=np.uint64))
         return table[np.frombuffer(units, dtype=np.uint8)]
 
     def join(self, units) -> bytes:
@@ -73,9 +73,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     def make() -> dict:
         return {"n": 0}
 
-    kept = worker_kept("powers", make)
+    kept = worker_kept("windows", "powers", make)
     if kept["n"] < n:
-        m = 1 << max(20, (n - 1).bit_length())
+        m = 1 << max(16, (n - 1).bit_length())
         for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
             p = np.full(m, np.uint64(base), dtype=np.uint64)
             p[0] = 1
