@@ -109,3 +109,26 @@ def test_copies_share_a_profile(spark):
     got = {r.id: r.profile for r in content.same_terms(docs_of(spark, crowded())).collect()}
     assert {got[100 + i] for i in range(20)} == {got[100]}
     assert 200 not in got and got[201] == 201
+
+
+def test_counts_need_no_shuffle_of_terms(spark):
+    """Counts are formed in the row; several rows of an id, or of none, still count together."""
+    made = [(1, "red widget red widget"), (2, "blue"), (2, "blue ring"), (None, "hot"), (None, "hot"), (3, ""), (4, None)]
+    docs = spark.createDataFrame(made, "id long, text string")
+    got = {(r.id, r.term): r.tf for r in content.term_counts(docs).collect()}
+    assert got == {
+        (1, "red"): 2, (1, "widget"): 2, (1, "red widget"): 2, (1, "widget red"): 1,
+        (2, "blue"): 2, (2, "ring"): 1, (2, "blue ring"): 1, (None, "hot"): 2,
+    }
+    plan = content.term_counts(docs.where("id = 1"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_all_cosines_join_no_terms(spark):
+    """Vectors are sent whole, all pairs or those from a score: no join of terms with terms."""
+    docs = spark.createDataFrame([(i, f"red ring w{i % 7} w{i % 5}") for i in range(60)], "id long, text string")
+    members = content.same_terms(docs)
+    for least in (None, 0.5):
+        pairs = content.cosine_pairs(docs, members, least=least)
+        assert "Join" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert pairs.count()
