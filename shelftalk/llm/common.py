@@ -54,6 +54,15 @@ def text_runs(
             yield ids, texts
 
 
+def by_merge(df: DataFrame) -> DataFrame:
+    """``df`` as the side of a join that is sorted and merged, never sent to the driver.
+
+    Spark takes a table for as large as its file, whatever an explode makes of the rows or the
+    file's encoding has saved. A side that grows with the input says so by this hint.
+    """
+    return df.hint("merge")
+
+
 T = TypeVar("T")
 
 

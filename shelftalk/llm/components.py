@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelftalk.llm.common import by_merge
 from shelftalk.sources.scratch import materialize
 
 
@@ -15,7 +16,7 @@ def _stars(links: DataFrame, large: bool) -> DataFrame:
     if large:
         both = both.unionByName(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    met = both.join(least, "u")
+    met = both.join(by_merge(least), "u")
     if large:
         out = met.where("v > u").select(F.col("m").alias("a"), F.col("v").alias("b"))
     else:
@@ -45,6 +46,6 @@ def components(nodes: DataFrame, node: str, links: DataFrame) -> DataFrame:
         before = state
         current = materialize(_stars(_stars(current, True), False))
     roots = current.groupBy(F.col("b").alias(node)).agg(F.min("a").alias("_root"))
-    return nodes.select(node).join(roots, node, "left").select(
+    return nodes.select(node).join(by_merge(roots), node, "left").select(
         node, F.coalesce("_root", node).alias("root")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from shelftalk.llm.common import spare_name
+from shelftalk.llm.common import by_merge, spare_name
 from shelftalk.llm.components import components
 from shelftalk.sources.scratch import materialize
 
@@ -68,7 +68,7 @@ def near_links(prints: DataFrame) -> DataFrame:
     )
     least = spread.groupBy("value").agg(F.min("fp").alias("a"), F.max("fp").alias("b"))
     shared = least.where("a < b")
-    links = spread.join(shared, "value").where("fp > a").select("a", F.col("fp").alias("b"))
+    links = spread.join(by_merge(shared), "value").where("fp > a").select("a", F.col("fp").alias("b"))
     return links.distinct()
 
 
@@ -108,7 +108,7 @@ def ring_links(prints: DataFrame) -> DataFrame:
         .where("low < high")
         .select("key")
     )
-    some = keyed.join(mixed, "key", "left_semi")
+    some = keyed.join(by_merge(mixed), "key", "left_semi")
     left = some.select("key", F.col("fp").alias("a"), F.col("group").alias("ga"))
     right = some.select("key", F.col("fp").alias("b"), F.col("group").alias("gb"))
     chains = None
@@ -118,7 +118,7 @@ def ring_links(prints: DataFrame) -> DataFrame:
         chains = chain if chains is None else chains | chain
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 3
     found = left.join(
-        right,
+        by_merge(right),
         (left["key"] == right["key"]) & (F.col("ga") < F.col("gb")) & chains & close,
     )
     return found.select("a", "b").distinct()
@@ -131,12 +131,12 @@ def near_groups(prints: DataFrame) -> DataFrame:
     far = materialize(ring_links(grouped))
     names = grouped.select(F.col("fp").alias("a"), F.col("group").alias("ga"))
     others = grouped.select(F.col("fp").alias("b"), F.col("group").alias("gb"))
-    links = far.join(names, "a").join(others, "b").select(
+    links = far.join(by_merge(names), "a").join(by_merge(others), "b").select(
         F.least("ga", "gb").alias("a"), F.greatest("ga", "gb").alias("b")
     ).distinct()
     roots = components(near.select(F.col("root").alias("fp")).distinct(), "fp", links)
     return near.withColumnRenamed("root", "via").join(
-        roots.select(F.col("fp").alias("via"), "root"), "via"
+        by_merge(roots.select(F.col("fp").alias("via"), "root")), "via"
     ).select("fp", "root")
 
 
@@ -144,9 +144,9 @@ def component_of(prints: DataFrame, least: Column) -> DataFrame:
     """``fp`` and ``first``, the smallest ``least`` in the component, of each fingerprint in
     ``prints`` (a stored table with a column ``fp``, a row for each document)."""
     own = materialize(prints.groupBy("fp").agg(F.min(least).alias("least")))
-    groups = materialize(near_groups(own.select("fp")).join(own, "fp"))
+    groups = materialize(near_groups(own.select("fp")).join(by_merge(own), "fp"))
     firsts = groups.groupBy("root").agg(F.min("least").alias("first"))
-    return groups.join(firsts, "root").select("fp", "first")
+    return groups.join(by_merge(firsts), "root").select("fp", "first")
 
 
 def near_duplicates(df: DataFrame, shingle: int = 3) -> DataFrame:
@@ -163,7 +163,7 @@ def near_duplicates(df: DataFrame, shingle: int = 3) -> DataFrame:
             fingerprint_of(F.col("text"), shingle).alias("fp"),
         )
     )
-    return rows.join(component_of(rows, F.col("doc_id")), "fp").select(
+    return rows.join(by_merge(component_of(rows, F.col("doc_id"))), "fp").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("first").alias("component_id"),
@@ -179,5 +179,5 @@ def first_of_each(df: DataFrame, shingle: int = 3) -> DataFrame:
     key = [F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias(order), F.crc32(text.cast("binary")).alias(crc)]
     rows = materialize(df.select(*key, fingerprint_of(F.col("text"), shingle).alias("fp")))
     firsts = component_of(rows, F.struct(order, crc)).select("first.*").distinct()
-    kept = df.select("*", *key).join(firsts, [order, crc], "left_semi")
+    kept = df.select("*", *key).join(by_merge(firsts), [order, crc], "left_semi")
     return kept.dropDuplicates([order, crc]).select(*[F.col(f"`{c}`") for c in df.columns])
