@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelftalk.llm.common import arrow_rows
+from shelftalk.llm.common import arrow_rows, by_merge
 from shelftalk.llm.components import components
 from shelftalk.sources.scratch import materialize
 
@@ -217,7 +217,7 @@ def _candidates(coded: DataFrame, tables: Tables) -> DataFrame:
     )
     shared = keyed.groupBy("key").count().where("count > 1")
     blocks = F.ceil(F.col("count") / BLOCK).cast("int")
-    rows = keyed.join(shared, "key").select(
+    rows = keyed.join(by_merge(shared), "key").select(
         "*", blocks.alias("blocks"), F.pmod(F.xxhash64("node", "key"), blocks).cast("int").alias("block")
     )
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
@@ -339,20 +339,20 @@ def near_duplicates(
     index = Tables(quantiser.bits, tables, flips, radius)
     cells = materialize(_candidates(materialize(_encoded(nodes, quantiser)), index))
     label = F.col("own.label").cast("string").alias("label")
-    met = cells.join(nodes.select("node", "vector", "copies", label), "node")
+    met = cells.join(by_merge(nodes.select("node", "vector", "copies", label)), "node")
     found = materialize(_checked(met, index, cosine))
     counts = found.groupBy("node").agg(F.sum("n").alias("n"))
     links = found.where("root < node").select(F.col("root").alias("a"), F.col("node").alias("b")).distinct()
     roots = materialize(components(nodes, "node", links))
-    firsts = roots.join(nodes.select("node", "first"), "node").groupBy("root").agg(F.min("first").alias("component_id"))
+    firsts = roots.join(by_merge(nodes.select("node", "first")), "node").groupBy("root").agg(F.min("first").alias("component_id"))
     facts = (
         nodes.select("own", "node", "copies")
-        .join(counts, "node", "left")
-        .join(roots, "node")
-        .join(firsts, "root")
+        .join(by_merge(counts), "node", "left")
+        .join(by_merge(roots), "node")
+        .join(by_merge(firsts), "root")
         .select("own", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     )
-    joined = linking.join(facts, "own").select(
+    joined = linking.join(by_merge(facts), "own").select(
         "vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
     return joined.unionByName(alone)

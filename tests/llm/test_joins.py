@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
-from shelftalk.llm import components, simhash
+from shelftalk.llm import components, embeddings, simhash
 
 rng = random.Random(5)
 WORDS = [f"w{i}" for i in range(400)]
@@ -19,7 +20,7 @@ def plans(monkeypatch):
         seen.append(df._jdf.queryExecution().sparkPlan().toString())
         return df
 
-    for module in (components, simhash):
+    for module in (components, embeddings, simhash):
         monkeypatch.setattr(module, "materialize", lambda df, f=module.materialize: f(add(df)))
     return seen, add
 
@@ -44,3 +45,13 @@ def test_simhash_broadcasts_nothing(spark, plans, run):
     seen, add = plans
     assert add(run(texts(spark))).count()
     assert len(joins(seen)) > 8 and all_merged(seen)
+
+
+def test_embeddings_broadcast_nothing(spark, plans):
+    seen, add = plans
+    r = np.random.default_rng(3)
+    middle = r.standard_normal((30, 16))
+    rows = [(i, (middle[i % 30] + 0.01 * r.standard_normal(16)).tolist(), 1) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    assert sum(x.n_links for x in add(embeddings.near_duplicates(df, bits=16)).collect()) >= 30 * 12
+    assert len(joins(seen)) > 6 and all_merged(seen)
