@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from shelftalk.llm.common import by_merge
 from shelftalk.sources.scratch import materialize
 
 FOLDS = 5  # crc32 of the id as text, modulo this, is the fold; fold 0 is held out
@@ -228,7 +229,7 @@ def train_on(table: DataFrame, labels: DataFrame) -> Scorer:
         .where(fold(F.col("doc_id")) != 0)
         .distinct()
     )
-    rows = table.join(known, "doc_id")
+    rows = table.join(by_merge(known), "doc_id")
     return train(materialize(rows.select("stats", "label", fold(F.col("doc_id")).alias("part"))))
 
 

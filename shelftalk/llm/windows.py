@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelftalk.llm.common import worker_kept
+from shelftalk.llm.common import by_merge, worker_kept
 from shelftalk.sources.scratch import materialize
 
 NO_ID = (1 << 63) - 1  # stands for a null id: larger than any other
@@ -525,7 +525,7 @@ def covered_windows(docs: DataFrame, units: Units, confirm: Confirm, block: int
 
     def with_rows(to: DataFrame, rows: DataFrame, *kinds: str) -> DataFrame:
         each = _by(rows, parts).mapInArrow(_per_document(kinds), _PER_DOC_SQL)
-        return to.join(each, ["doc", "crc"], "left")
+        return to.join(by_merge(each), ["doc", "crc"], "left")
 
     opened = with_rows(keyed.select("doc", "text", "crc"), settled.where(F.col("kind") == OPEN), "u8", "u4", "u2")
     stretches = opened.mapInArrow(_fetch(units, parts), _STRETCHES_SQL)

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from shelftalk.llm import components, embeddings, simhash
+from shelftalk.llm import classifier, components, embeddings, simhash, suffixes
 
 rng = random.Random(5)
 WORDS = [f"w{i}" for i in range(400)]
@@ -20,7 +20,7 @@ def plans(monkeypatch):
         seen.append(df._jdf.queryExecution().sparkPlan().toString())
         return df
 
-    for module in (components, embeddings, simhash):
+    for module in (classifier, components, embeddings, simhash):
         monkeypatch.setattr(module, "materialize", lambda df, f=module.materialize: f(add(df)))
     return seen, add
 
@@ -55,3 +55,11 @@ def test_embeddings_broadcast_nothing(spark, plans):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     assert sum(x.n_links for x in add(embeddings.near_duplicates(df, bits=16)).collect()) >= 30 * 12
     assert len(joins(seen)) > 6 and all_merged(seen)
+
+
+def test_repeats_and_scores_broadcast_nothing(spark, plans):
+    seen, add = plans
+    assert add(suffixes.without_repeats(texts(spark))).count() == 43
+    labels = spark.createDataFrame([(i, i % 2) for i in range(43)], "doc_id long, quality int")
+    assert add(classifier.score_documents(texts(spark), labels)).count() == 43
+    assert len(joins(seen)) >= 2 and all_merged(seen)
